@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglake.llm import bpe, common, language_id
+from loglake.llm import bpe, common, language_id, minhash
 from loglake.llm.common import table
 
 
@@ -20,13 +20,18 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_shingles", "component_id", "kept", "class_id")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.digests(bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json")).drop("text"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_language_id": op1_language_id, "op3_bpe": op3_bpe}
+    return {"op1_language_id": op1_language_id, "op2_minhash_dedup": op2_minhash_dedup, "op3_bpe": op3_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
