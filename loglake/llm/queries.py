@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglake.llm import bpe, common, language_id, minhash
+from loglake.llm import bpe, chat, common, language_id, minhash
 from loglake.llm.common import table
 
 
@@ -30,9 +30,15 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json")).drop("text"))
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.createDataFrame(chat.HARD, "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.conversations(rows.unionByName(hard)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_language_id": op1_language_id, "op2_minhash_dedup": op2_minhash_dedup, "op3_bpe": op3_bpe}
+    return {"op1_language_id": op1_language_id, "op2_minhash_dedup": op2_minhash_dedup, "op3_bpe": op3_bpe, "op9_chat_format": op9_chat_format}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_chat_format": chat.ORACLE_SQL}
