@@ -6,9 +6,10 @@ key of one table: side * side tables of 2 * width minhashes each come from 2 * s
 width minhashes, about the square root of what independent tables would need.
 
 Texts with equal shingle sets form a class first, so copies count once from there on.
-Members of a table's bucket are compared with a leader, never all with all, and a pair
-whose ends already are in one component isn't compared again; what then remains between
-different components of a bucket is compared in full. Every link is confirmed on the
+Members of a table's bucket are compared with a leader, never all with all; only what
+then remains between different components of a bucket is compared too. A text's shingles
+that no other candidate has bound the similarity it can reach, which leaves out nearly
+all pairs of a large group that aren't links. Every link is confirmed on the
 full shingle sets.
 """
 
@@ -27,7 +28,8 @@ from loglake.llm.common import settle, written
 from loglake.llm.components import components
 
 SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
-BLOCK = 1 << 20
+#: Members up to which all pairs between a bucket's components are compared at once.
+SMALL = 16
 
 
 def _constants(n: int, seed: int) -> np.ndarray:
@@ -75,8 +77,8 @@ def shingle_hashes(text: str | None, words: int) -> np.ndarray:
 class Tensor:
     """side groups of width minhashes in each of two collections."""
 
-    side: int = 7
-    width: int = 2
+    side: int = 9
+    width: int = 3
 
     def minhashes(self, hashes: np.ndarray) -> np.ndarray:
         by = _constants(2 * self.side * self.width, 23)
@@ -118,12 +120,11 @@ def shingle_sets(docs: DataFrame, text: str, key: str, words: int) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).mapInArrow(run, "id long, s array<long>")
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b, na, nb) whose full sets have 100 * intersection >= percent * union."""
+def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b, na, nb) with `both`: how many shingles their full sets have in common."""
     a = sets.select(F.col("id").alias("a"), F.col("s").alias("sa"))
     b = sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    return pairs.join(a, "a").join(b, "b").where(100 * both >= percent * (F.col("na") + F.col("nb") - both)).select("a", "b")
+    return pairs.join(a, "a").join(b, "b").select(*pairs.columns, F.size(F.array_intersect("sa", "sb")).alias("both"))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, percent: int = 85, tensor: Tensor = Tensor()) -> DataFrame:
@@ -134,57 +135,72 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     texts have an empty set, are linked with nothing and are kept. Rows that share a key keep a row each and
     count as one text of that key for each distinct set.
 
-    A pair at exactly 85 % meets in some table with probability 1 - 2 * (1 - 0.85**2)**7 = 0.9997, at 90 % with
-    0.99999; equal sets always meet.
+    A pair at exactly 85 % meets in some table with probability 1 - 2 * (1 - 0.85**3)**9 = 0.9996, at 90 % with
+    0.99998; equal sets always meet.
     """
     all_rows = written(signatures(docs, text, key, words, tensor))
     same = ["n", "one", "two"]
     classes = all_rows.where("n > 0").groupBy(*same).agg(F.min("id").alias("rep"), F.min(F.struct("id", "low"))["low"].alias("low"))
     keyed = classes.select(F.col("rep"), "n", F.explode(tensor.keys(F.col("low"))).alias("bucket"))
-    several = keyed.groupBy("bucket").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most").select("bucket", "least")
-    members = written(keyed.join(several, "bucket").select("bucket", "rep", "n", "least"))
-    wanted = members.select(F.col("rep").alias("__id")).distinct()
-    chosen = docs.select(F.col(key).cast("long").alias("__id"), F.col(text).alias("__text")).join(wanted, "__id", "left_semi")
+    several = keyed.groupBy("bucket").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("bucket")
+    shared = written(keyed.join(several, "bucket").select("bucket", "rep", "n"))
+    wanted = shared.select("rep", "n").distinct()
+    chosen = docs.select(F.col(key).cast("long").alias("__id"), F.col(text).alias("__text")).join(wanted.select(F.col("rep").alias("__id")), "__id", "left_semi")
     sets = written(shingle_sets(chosen, "__text", "__id", words))
-    sizes = members.select("rep", "n").distinct()
-    fits = lambda a, b: (100 * F.least(a, b) >= percent * F.greatest(a, b))
-
-    # Each text with the smallest leader among its buckets.
-    first = members.where("rep <> least").groupBy("rep", "n").agg(F.min("least").alias("a"))
-    first = first.join(sizes.select(F.col("rep").alias("a"), F.col("n").alias("na")), "a").select("a", F.col("rep").alias("b"), "na", F.col("n").alias("nb")).where(fits(F.col("na"), F.col("nb")))
-    links = settle(confirm(first, sets, percent))
+    # Shingles that no other of these texts has bound what a text can have in common with any of them.
+    own = sets.select("id", F.explode("s").alias("h")).groupBy("h").agg(F.count("*").alias("k"), F.min("id").alias("rep")).where("k = 1").groupBy("rep").agg(F.count("*").alias("u"))
+    facts = settle(wanted.join(own, "rep", "left").select("rep", "n", F.coalesce("u", F.lit(0)).alias("u")))
+    members = written(shared.drop("n").join(facts, "rep"))
+
+    def fits(a: str, b: str) -> Column:
+        """Whether ends that have at most c shingles in common with each other can be linked."""
+        most = F.least(F.col(f"c{a}"), F.col(f"c{b}"))
+        return 100 * most >= percent * (F.col(f"n{a}") + F.col(f"n{b}") - most)
+
+    def end(df: DataFrame, name: str, common: str, *more: str) -> DataFrame:
+        return df.select("bucket", F.col("rep").alias(name), F.col("n").alias(f"n{name}"), F.expr(common).alias(f"c{name}"), *more)
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        """The distinct unordered pairs with what they have in common."""
+        swap = F.col("a") > F.col("b")
+        ordered = pairs.select(*[F.when(swap, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("b", "a"), ("na", "nb"), ("nb", "na"))])
+        return settle(compare(ordered.dropDuplicates(["a", "b"]), sets))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return pairs.where(100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
+
+    def between(at: DataFrame, common: str) -> DataFrame:
+        """Pairs of a bucket across components: all outside its most frequent component with all others, if they can be linked."""
+        mixed = at.groupBy("bucket", "c").count().groupBy("bucket").agg(F.max_by("c", "count").alias("main"), F.count("*").alias("k")).where("k > 1").select("bucket", "main")
+        left = at.join(mixed, "bucket")
+        minor, others = end(left.where("c <> main"), "a", common, F.col("c").alias("pa")), end(left, "b", common, F.col("c").alias("pb"), "main")
+        near = (F.col("pa") != F.col("pb")) & fits("a", "b") & ((F.col("pb") == F.col("main")) | (F.col("a") < F.col("b")))
+        return minor.join(others, (minor["bucket"] == others["bucket"]) & near).select("a", "b", "na", "nb")
+
+    # All members of a bucket with its leader: the text with the fewest shingles of its own, as the source of a group of copies has.
+    leaders = members.groupBy("bucket").agg(F.min(F.struct("u", "rep", "n")).alias("x"), F.count("*").alias("size")).select("bucket", "x.*", "size")
+    pairs = checked(end(members, "b", "n - u").join(end(leaders, "a", "n - u"), "bucket").where((F.col("a") != F.col("b")) & fits("a", "b")))
+    links = linked(pairs)
     found = components(links)
 
-    def placed() -> DataFrame:
-        """Members of buckets with their component so far."""
-        return members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("c"))
-
-    def more(pairs: DataFrame) -> bool:
-        nonlocal links, found
-        pairs = settle(pairs.where(fits(F.col("na"), F.col("nb"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb")).dropDuplicates(["a", "b"]))
-        if pairs.isEmpty():
-            return False
-        new = settle(confirm(pairs, sets, percent))
-        if new.isEmpty():
-            return False
-        links = links.unionByName(new)
-        found = components(links)
-        return True
-
-    # A leader for each bucket that differs from table to table.
-    at = settle(placed())
-    leaders = at.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("bucket", "rep").alias("h"), "rep", "n", "c")).alias("x"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("bucket", F.col("x.rep").alias("a"), F.col("x.n").alias("na"), F.col("x.c").alias("ca"))
-    more(at.join(leaders, "bucket").where("c <> ca").select("a", F.col("rep").alias("b"), "na", F.col("n").alias("nb")))
-
-    # What is left between components: all outside a bucket's most frequent component, with all others in it.
-    at = settle(placed())
-    counts = at.groupBy("bucket", "c").count()
-    mixed = counts.groupBy("bucket").agg(F.max_by("c", "count").alias("main"), F.count("*").alias("k")).where("k > 1").select("bucket", "main")
-    left = at.join(mixed, "bucket")
-    minor = left.where("c <> main").select("bucket", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-    ends = left.select("bucket", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), "main")
-    near = (F.col("ca") != F.col("cb")) & fits(F.col("na"), F.col("nb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))
-    more(minor.join(ends, (minor["bucket"] == ends["bucket"]) & near).select("a", "b", "na", "nb"))
+    # What is left between components. Small buckets: every such pair.
+    able = members.where(100 * (F.col("n") - F.col("u")) >= percent * F.col("n"))
+    at = able.join(found.withColumnRenamed("node", "rep"), "rep", "left").join(leaders.select("bucket", F.col("rep").alias("lead"), "size"), "bucket")
+    at = settle(at.select("bucket", "rep", "n", "u", "lead", "size", F.coalesce("component", "rep").alias("c")))
+    rest = between(at.where(F.col("size") <= SMALL), "n - u")
+    # Large buckets: two texts that have no shingle in common besides the leader's have at most those they share with it ...
+    known = pairs.select(F.col("a").alias("lead"), F.col("b").alias("rep"), "both").unionByName(pairs.select(F.col("b").alias("lead"), F.col("a").alias("rep"), "both"))
+    large = at.where(F.col("size") > SMALL)
+    capped = large.join(known, ["lead", "rep"], "left").withColumn("most", F.least(F.col("n") - F.col("u"), F.coalesce("both", "n")))
+    rest = rest.unionByName(between(capped, "most"))
+    # ... and all others meet in a shingle that the leader hasn't.
+    beside = large.select("lead", "rep", "n", "u", "c").distinct().where("lead <> rep")
+    beside = beside.join(sets.select(F.col("id").alias("rep"), F.col("s").alias("sr")), "rep").join(sets.select(F.col("id").alias("lead"), F.col("s").alias("sl")), "lead")
+    beside = beside.select("rep", "n", "u", "c", "lead", F.explode(F.array_except("sr", "sl")).alias("h")).select(F.xxhash64("lead", "h").alias("bucket"), "rep", "n", "u", "c")
+    rest = checked(rest.unionByName(between(settle(beside), "n - u")))
+    more = linked(rest)
+    if not more.isEmpty():
+        found = components(links.unionByName(more))
 
     whole = classes.select(*same, "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select(*same, F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id"))
     # Sums of an empty set are 0, so the join needs no case for them.
