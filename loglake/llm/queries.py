@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglake.llm import bpe, chat, common, language_id, licenses, minhash
+from loglake.llm import bpe, chat, common, decontaminate, language_id, licenses, minhash
 from loglake.llm.common import table
 
 
@@ -30,6 +30,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json")).drop("text"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return licenses.scan(docs).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
@@ -42,7 +47,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_language_id": op1_language_id, "op2_minhash_dedup": op2_minhash_dedup, "op3_bpe": op3_bpe, "op8_license_scan": op8_license_scan, "op9_chat_format": op9_chat_format}
+    return {"op1_language_id": op1_language_id, "op2_minhash_dedup": op2_minhash_dedup, "op3_bpe": op3_bpe, "op5_decontaminate": op5_decontaminate, "op8_license_scan": op8_license_scan, "op9_chat_format": op9_chat_format}
 
 
 def oracle_sql() -> dict[str, str]:
