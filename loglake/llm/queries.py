@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglake.llm import bpe, chat, common, decontaminate, language_id, licenses, minhash
+from loglake.llm import bpe, chat, common, decontaminate, language_id, licenses, minhash, quality, toxicity
 from loglake.llm.common import table
 
 
@@ -35,6 +35,13 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = common.fold(F.col("doc_id"), 3) == 1
+    model = toxicity.fit(docs.where(~held), table(spark, sf_dir, "labels").where(~held))
+    return toxicity.score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return licenses.scan(docs).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
@@ -46,8 +53,15 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.conversations(rows.unionByName(hard)))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = common.fold(F.col("doc_id"), 5) == 0
+    model = quality.fit(docs.where(~held), table(spark, sf_dir, "labels").where(~held))
+    return quality.score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_language_id": op1_language_id, "op2_minhash_dedup": op2_minhash_dedup, "op3_bpe": op3_bpe, "op5_decontaminate": op5_decontaminate, "op8_license_scan": op8_license_scan, "op9_chat_format": op9_chat_format}
+    return {"op1_language_id": op1_language_id, "op2_minhash_dedup": op2_minhash_dedup, "op3_bpe": op3_bpe, "op5_decontaminate": op5_decontaminate, "op7_toxicity": op7_toxicity, "op8_license_scan": op8_license_scan, "op9_chat_format": op9_chat_format, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
