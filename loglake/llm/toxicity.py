@@ -1,7 +1,7 @@
 """Toxicity with a counterfactually regularised classifier.
 
-A sparse logistic model over the words of a text (their presence), trained in numpy from
-a bounded sample. Sentences that name a group are also trained on with the group swapped
+A sparse logistic model over the words of a text and their beginnings (their presence),
+trained in numpy from a bounded sample. Sentences that name a group are also trained on with the group swapped
 for others of its kind: squared differences between the scores of a text and its swapped
 versions are penalised, so that naming a group as such doesn't move the score.
 """
@@ -33,31 +33,47 @@ def words_of(text: Column) -> Column:
     return F.array_distinct(F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), ""))
 
 
+#: Lengths of the beginnings that stand for all forms of a word.
+STEMS = (4, 5, 6)
+
+
+def features_of(words: Column) -> Column:
+    """The distinct words and their beginnings, those with a star."""
+    stems = [F.transform(F.filter(words, lambda w: F.length(w) >= k), lambda w: F.concat(F.substring(w, 1, k), F.lit("*"))) for k in STEMS]
+    return F.array_distinct(F.concat(words, *stems))
+
+
+def features(words: set[str]) -> set[str]:
+    """As features_of(), for Python."""
+    return words.union(*[{f"{w[:k]}*" for w in words if len(w) >= k} for k in STEMS])
+
+
 @dataclass
 class Model:
-    """Words and their weights; a text's score is the sigmoid of bias plus the weights of its distinct words."""
+    """Features and their weights; a text's score is the sigmoid of bias plus the weights of its distinct features."""
 
     weights: dict[str, float]
     bias: float
 
-    def margin(self, words: list[str]) -> float:
-        return self.bias + sum(self.weights.get(w, 0.0) for w in set(words))
+    def margin(self, words: set[str]) -> float:
+        return self.bias + sum(map(self.weights.__getitem__, sorted(self.weights.keys() & features(words))))
 
 
 def swapped(words: set[str], known: set[str]) -> list[set[str]]:
-    """Versions of a text's words with each named group replaced by the other terms of its kind that have a weight."""
+    """Versions of a text's features with each named group replaced by the other terms of its kind that have a weight."""
     out = []
     for terms in IDENTITIES.values():
         for term in words.intersection(terms):
             others = [x for x in terms if x != term and x in known][:4]
-            out += [(words - {term}) | {x} for x in others] or [words - {term}]
+            rest = words - features({term})
+            out += [rest | features({x}) for x in others] or [rest]
     return out
 
 
-def train(texts: list[list[str]], labels: list[int], features: int = 3000, l1: float = 2e-4, fairness: float = 2.0, steps: int = 400, least: int = 5) -> Model:
+def train(texts: list[list[str]], labels: list[int], width: int = 6000, l1: float = 5e-5, fairness: float = 2.0, steps: int = 400, least: int = 5) -> Model:
     """Accelerated proximal gradient steps on log loss + fairness * mean squared swap difference + l1 * |weights|.
 
-    Words are chosen by document frequency (at least `least`) and the strength of their association with the label.
+    texts: the features of each text. They are chosen by document frequency (at least `least`) and the strength of their association with the label.
     """
     y = np.asarray(labels, dtype=float)
     if not len(y) or y.min() == y.max():
@@ -75,7 +91,7 @@ def train(texts: list[list[str]], labels: list[int], features: int = 3000, l1: f
             e1 = (c0 + c1) * n1 / len(y)
             strength[w] = (c1 - e1) ** 2 / (e1 * (1 - n1 / len(y)) + 1e-9)
     named = {t for terms in IDENTITIES.values() for t in terms} & strength.keys()
-    chosen = sorted(sorted(strength, key=lambda w: (-strength[w], w))[:features] + sorted(named))
+    chosen = sorted(sorted(strength, key=lambda w: (-strength[w], w))[:width] + sorted(named))
     column = {w: k for k, w in enumerate(dict.fromkeys(chosen))}
 
     def sparse(rows: list[set[str]]) -> tuple[np.ndarray, np.ndarray]:
@@ -113,13 +129,13 @@ def train(texts: list[list[str]], labels: list[int], features: int = 3000, l1: f
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", bound: int = 8000, **options) -> Model:
     """Train from at most `bound` labelled documents (those whose key hash is smallest); null labels aren't learned from.
 
-    The driver receives, for each sampled text, those of its words that at least five sampled texts have, at most
-    60,000 of them. Of several labels for a key the largest counts.
+    The driver receives, for each sampled text, those of its features that at least five sampled texts have, at
+    most 60,000 of them. Of several labels for a key the largest counts.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull())
     chosen = common.sample_ids(known, key, bound)
     rows = known.join(F.broadcast(chosen), key, "left_semi").groupBy(key).agg(F.max(label).alias("y"))
-    texts = docs.select(F.col(key), words_of(F.col(text)).alias("w")).join(F.broadcast(rows), key).dropDuplicates([key])
+    texts = docs.select(F.col(key), features_of(words_of(F.col(text))).alias("w")).join(F.broadcast(rows), key).dropDuplicates([key])
     texts = common.settle(texts)
     counts = texts.select(F.explode("w").alias("w")).groupBy("w").count().where("count >= 5").orderBy(F.desc("count"), "w").limit(60_000)
     vocabulary = [x["w"] for x in counts.collect()]
@@ -139,8 +155,8 @@ def score(docs: DataFrame, model: Model, text: str = "text", threshold: float =
     def rate(texts: pd.Series) -> pd.Series:
         import regex
 
-        weights, bias, split = shared.value.weights, shared.value.bias, regex.compile(r"[^\p{L}\p{N}]+").split
-        z = np.asarray([bias + sum(map(weights.__getitem__, weights.keys() & set(split((t or "").lower())))) for t in texts])
+        split = regex.compile(r"[^\p{L}\p{N}]+").split
+        z = np.asarray([shared.value.margin({w for w in split((t or "").lower()) if w}) for t in texts])
         return pd.Series(1 / (1 + np.exp(-z)))
 
     kept = [docs[c] for c in docs.columns if c not in ("score", "predicted")]
