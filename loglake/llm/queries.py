@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglake.llm import bpe, chat, common, decontaminate, language_id, licenses, minhash, quality, toxicity, vamana
+from loglake.llm import bpe, chat, common, decontaminate, language_id, licenses, minhash, quality, suffix_dedup, toxicity, vamana
 from loglake.llm.common import table
 
 
@@ -30,6 +30,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json")).drop("text"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.digests(suffix_dedup.remove_repeats(docs))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
@@ -65,7 +70,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_language_id": op1_language_id, "op2_minhash_dedup": op2_minhash_dedup, "op3_bpe": op3_bpe, "op5_decontaminate": op5_decontaminate, "op6_nearest": op6_nearest, "op7_toxicity": op7_toxicity, "op8_license_scan": op8_license_scan, "op9_chat_format": op9_chat_format, "op10_quality": op10_quality}
+    return {"op1_language_id": op1_language_id, "op2_minhash_dedup": op2_minhash_dedup, "op3_bpe": op3_bpe, "op4_suffix_dedup": op4_suffix_dedup, "op5_decontaminate": op5_decontaminate, "op6_nearest": op6_nearest, "op7_toxicity": op7_toxicity, "op8_license_scan": op8_license_scan, "op9_chat_format": op9_chat_format, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
