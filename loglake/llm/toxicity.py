@@ -70,7 +70,7 @@ def swapped(words: set[str], known: set[str]) -> list[set[str]]:
     return out
 
 
-def train(texts: list[list[str]], labels: list[int], width: int = 6000, l1: float = 5e-5, fairness: float = 2.0, steps: int = 400, least: int = 5) -> Model:
+def train(texts: list[list[str]], labels: list[int], width: int = 6000, l1: float = 5e-5, fairness: float = 2.0, steps: int = 600, least: int = 5) -> Model:
     """Accelerated proximal gradient steps on log loss + fairness * mean squared swap difference + l1 * |weights|.
 
     texts: the features of each text. They are chosen by document frequency (at least `least`) and the strength of their association with the label.
@@ -107,7 +107,15 @@ def train(texts: list[list[str]], labels: list[int], width: int = 6000, l1: floa
     w = np.zeros(k)
     b = float(np.log(n1 / n0))
     v, vb, t = w.copy(), b, 1.0
-    step = 4.0 / (np.bincount(r, minlength=n).mean() + 1 + 8 * fairness * bool(m))
+    # The step is the inverse of the curvature's largest eigenvalue, by power iteration.
+    u, curve = np.ones(k), 1.0
+    for _ in range(30):
+        u /= np.linalg.norm(u)
+        next_u = 0.25 * np.bincount(c, np.bincount(r, u[c], n)[r], k) / n
+        if m:
+            next_u += 2 * fairness * np.bincount(ct, vt * np.bincount(rt, vt * u[ct], m)[rt], k) / m
+        u, curve = next_u, np.linalg.norm(next_u)
+    step = 0.9 / (curve + 1e-6)
     for _ in range(steps):
         z = np.bincount(r, v[c], n) + vb
         g = 1 / (1 + np.exp(-z)) - y
@@ -115,9 +123,9 @@ def train(texts: list[list[str]], labels: list[int], width: int = 6000, l1: floa
         if m:
             d = np.bincount(rt, vt * v[ct], m)
             grad += 2 * fairness * np.bincount(ct, vt * d[rt], k) / m
-        new = v - step * 8 * grad
-        new = np.sign(new) * np.maximum(np.abs(new) - step * 8 * l1, 0)
-        nb = vb - step * g.mean()
+        new = v - step * grad
+        new = np.sign(new) * np.maximum(np.abs(new) - step * l1, 0)
+        nb = vb - min(step, 2.0) * g.mean()
         if (new - w) @ (v - new) > 0:
             t = 1.0
         s = (1 + np.sqrt(1 + 4 * t * t)) / 2
@@ -126,21 +134,33 @@ def train(texts: list[list[str]], labels: list[int], width: int = 6000, l1: floa
     return Model({x: float(w[j]) for x, j in column.items() if w[j]}, float(b))
 
 
-def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", bound: int = 8000, **options) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", bound: int = 8000, width: int = 6000, least: int = 5, **options) -> Model:
     """Train from at most `bound` labelled documents (those whose key hash is smallest); null labels aren't learned from.
 
-    The driver receives, for each sampled text, those of its features that at least five sampled texts have, at
-    most 60,000 of them. Of several labels for a key the largest counts.
+    Features are counted and chosen by Spark (see train()); the driver receives `width` of them and, for each
+    sampled text, the numbers of those it has. Of several labels for a key the largest counts.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull())
     chosen = common.sample_ids(known, key, bound)
-    rows = known.join(F.broadcast(chosen), key, "left_semi").groupBy(key).agg(F.max(label).alias("y"))
-    texts = docs.select(F.col(key), features_of(words_of(F.col(text))).alias("w")).join(F.broadcast(rows), key).dropDuplicates([key])
-    texts = common.settle(texts)
-    counts = texts.select(F.explode("w").alias("w")).groupBy("w").count().where("count >= 5").orderBy(F.desc("count"), "w").limit(60_000)
-    vocabulary = [x["w"] for x in counts.collect()]
-    got = texts.select(key, "y", F.array_intersect("w", F.lit(vocabulary).cast("array<string>")).alias("w")).orderBy(key).toPandas()
-    return train([list(x) for x in got["w"]], [int(v) for v in got["y"]], **options)
+    rows = known.join(F.broadcast(chosen), key, "left_semi").groupBy(key).agg(F.max(label).cast("long").alias("y"))
+    texts = docs.select(F.col(key).alias("id"), features_of(words_of(F.col(text))).alias("w")).join(F.broadcast(rows.withColumnRenamed(key, "id")), "id").dropDuplicates(["id"])
+    texts = common.written(texts)
+    labelled = {r["id"]: r["y"] for r in texts.select("id", "y").collect()}
+    n, n1 = len(labelled), sum(labelled.values())
+    each = texts.select("id", "y", F.explode("w").alias("w"))
+    expected = F.col("n") * (n1 / max(n, 1))
+    strength = (F.col("n1") - expected) ** 2 / (expected * (1 - n1 / max(n, 1)) + 1e-9)
+    counts = each.groupBy("w").agg(F.count("*").alias("n"), F.sum("y").alias("n1")).where(F.col("n") >= least).select("w", strength.alias("s"))
+    named = sorted(features({t for terms in IDENTITIES.values() for t in terms}))
+    kept = counts.orderBy(F.desc("s"), "w").limit(width).unionByName(counts.where(F.col("w").isin(named))).select("w").distinct()
+    vocabulary = sorted(r["w"] for r in kept.collect())
+    if not vocabulary:
+        return train([[] for _ in labelled], list(labelled.values()))
+    numbers = docs.sparkSession.createDataFrame(list(enumerate(vocabulary)), "k int, w string")
+    got = each.join(F.broadcast(numbers), "w").groupBy("id").agg(F.sort_array(F.collect_list("k")).alias("k")).toPandas()
+    held = dict(zip(got["id"], got["k"], strict=True))
+    ids = sorted(labelled)
+    return train([[vocabulary[j] for j in held.get(i, ())] for i in ids], [labelled[i] for i in ids], width=len(vocabulary), least=least, **options)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.7) -> DataFrame:
