@@ -84,10 +84,15 @@ class Tensor:
         by = _constants(2 * self.side * self.width, 23)
         return np.asarray([_mixed(hashes, a).min() for a in by], dtype=np.uint64).astype(np.int64)
 
-    def keys(self, minhashes: Column) -> Column:
+    def groups(self, minhashes: Column) -> Column:
+        """array<long>: a hash of each group, first those of one collection, then those of the other."""
+        numbered = F.sequence(F.lit(0), F.lit(2 * self.side - 1))
+        return F.transform(numbered, lambda g: F.xxhash64(g, F.slice(minhashes, g * self.width + 1, F.lit(self.width))))
+
+    def keys(self, groups: Column) -> Column:
         """array<long> of the side * side table keys."""
-        group = [F.xxhash64(F.lit(g), *[minhashes[g * self.width + k] for k in range(self.width)]) for g in range(2 * self.side)]
-        return F.array(*[F.xxhash64(group[a], group[self.side + b]) for a in range(self.side) for b in range(self.side)])
+        one, two = F.slice(groups, 1, self.side), F.slice(groups, self.side + 1, self.side)
+        return F.flatten(F.transform(one, lambda a, i: F.transform(two, lambda b, j: F.xxhash64(a, b))))
 
 
 def signatures(docs: DataFrame, text: str, key: str, words: int, tensor: Tensor) -> DataFrame:
@@ -141,7 +146,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     all_rows = written(signatures(docs, text, key, words, tensor))
     same = ["n", "one", "two"]
     classes = all_rows.where("n > 0").groupBy(*same).agg(F.min("id").alias("rep"), F.min(F.struct("id", "low"))["low"].alias("low"))
-    keyed = classes.select(F.col("rep"), "n", F.explode(tensor.keys(F.col("low"))).alias("bucket"))
+    keyed = classes.select("rep", "n", tensor.groups(F.col("low")).alias("x")).select("rep", "n", F.explode(tensor.keys(F.col("x"))).alias("bucket"))
     several = keyed.groupBy("bucket").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("bucket")
     shared = written(keyed.join(several, "bucket").select("bucket", "rep", "n"))
     wanted = shared.select("rep", "n").distinct()
