@@ -32,7 +32,7 @@ from loglake.llm import common
 SUFFIX = "</w>"
 NEVER = 1 << 60
 #: Words and pairs that a worker remembers before it starts afresh; longer words are not remembered.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 REMEMBERED_LENGTH = 64
 #: The last symbol of a word is another symbol than the same byte elsewhere.
 MARK = 0xE000
@@ -256,11 +256,12 @@ def encode(docs: DataFrame, path: str, text: str = "text", decoded: bool = True)
     return plain.mapInArrow(run, schema)
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens and the SHA-256 of the decimal ids and of the decoded text."""
+def digests(encoded: DataFrame, *more: str) -> DataFrame:
+    """doc_id, n_tokens and the SHA-256 of the decimal ids and of the decoded text; more: columns to keep besides."""
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        *more,
     )
