@@ -143,8 +143,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull())
     chosen = common.sample_ids(known, key, bound)
     rows = known.join(F.broadcast(chosen), key, "left_semi").groupBy(key).agg(F.max(label).cast("long").alias("y"))
-    texts = docs.select(F.col(key).alias("id"), features_of(words_of(F.col(text))).alias("w")).join(F.broadcast(rows.withColumnRenamed(key, "id")), "id").dropDuplicates(["id"])
-    texts = common.written(texts)
+    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("t")).join(F.broadcast(rows.withColumnRenamed(key, "id")), "id").dropDuplicates(["id"])
+    texts = common.written(texts.select("id", "y", features_of(words_of(F.col("t"))).alias("w")))
     labelled = {r["id"]: r["y"] for r in texts.select("id", "y").collect()}
     n, n1 = len(labelled), sum(labelled.values())
     each = texts.select("id", "y", F.explode("w").alias("w"))
