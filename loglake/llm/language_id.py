@@ -148,7 +148,7 @@ def train(
     e = rng.normal(0, 0.1, (1 << bits, dim))
     w = np.zeros((dim, len(languages)))
     y = np.asarray([languages.index(x) for x in labels])
-    shares = [(ids, n / n.sum()) for ids, n in bags]
+    shares = [(ids, (n / n.sum()).astype(np.float32)) for ids, n in bags]
     keep = [k for k in range(len(bags)) if k % 5 or len(bags) < 50]
     back = [k for k in range(len(bags)) if k % 5 == 0] if len(bags) >= 50 else keep
     steps, done = max(1, epochs * len(keep)), 0
@@ -192,13 +192,14 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "do
     def bags(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             both = [bag(t, bits) for t in part["t"]]
-            yield pd.DataFrame({"k": part["k"], "y": part["y"], "ids": [x[0] for x in both], "n": [x[1] for x in both]})
+            yield pd.DataFrame({"k": part["k"], "y": part["y"], "ids": [x[0].astype(np.int32).tobytes() for x in both], "n": [x[1].astype(np.int32).tobytes() for x in both]})
 
-    got = rows.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(label).cast("string").alias("y")).mapInPandas(bags, "k long, y string, ids array<int>, n array<int>").toPandas()
+    got = rows.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(label).cast("string").alias("y")).mapInPandas(bags, "k long, y string, ids binary, n binary").toPandas()
     got = got[got["ids"].map(len) > 0].sort_values("k")
     if got.empty:
         raise ValueError("no labelled text to learn from")
-    return train([(np.asarray(i), np.asarray(n)) for i, n in zip(got["ids"], got["n"], strict=True)], list(got["y"]), bits, **options)
+    # Bytes, not lists: a sample of texts of any length stays small on the driver.
+    return train([(np.frombuffer(i, dtype=np.int32), np.frombuffer(n, dtype=np.int32)) for i, n in zip(got["ids"], got["n"], strict=True)], list(got["y"]), bits, **options)
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
