@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from loglake.llm import common
 
 SIZES = (2, 3, 4)
-BLOCK = 1 << 19
+BLOCK = 1 << 17
 UND = "und"
 
 
@@ -128,6 +128,8 @@ class Model:
     def predict(self, texts: list[str]) -> pd.DataFrame:
         if not texts:
             return pd.DataFrame({"lang_pred": [], "score": [], "rejected": []})
+        if not self.languages:
+            return pd.DataFrame({"lang_pred": UND, "score": 0.0, "rejected": True}, index=range(len(texts)))
         logits, count = self.logits(texts)
         p = self.probabilities(logits)
         best = p.argmax(axis=1)
@@ -183,7 +185,7 @@ def train(
 def fit(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_id", bound: int = 4000, bits: int = 16, **options) -> Model:
     """Train from at most `bound` labelled rows of docs (those whose key hash is smallest).
 
-    Null texts, null labels and texts without a letter are not learned from. Executors turn the sampled
+    Null texts, null labels and texts without a letter are not learned from; without any, the model rejects all. Executors turn the sampled
     texts into bags, so the driver receives at most bound x 2**bits pairs, not texts.
     """
     rows = common.sample_rows(docs.where(F.col(label).isNotNull() & F.col(text).isNotNull()), key, bound)
@@ -197,7 +199,7 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "do
     got = rows.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(label).cast("string").alias("y")).mapInPandas(bags, "k long, y string, ids binary, n binary").toPandas()
     got = got[got["ids"].map(len) > 0].sort_values("k")
     if got.empty:
-        raise ValueError("no labelled text to learn from")
+        return Model([], np.zeros((1 << bits, 0), dtype=np.float32), bits, 1.0, 0.0)
     # Bytes, not lists: a sample of texts of any length stays small on the driver.
     return train([(np.frombuffer(i, dtype=np.int32), np.frombuffer(n, dtype=np.int32)) for i, n in zip(got["ids"], got["n"], strict=True)], list(got["y"]), bits, **options)
 
