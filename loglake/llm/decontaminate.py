@@ -27,7 +27,7 @@ UNITS = (
     "dollar dollars euro euros cent cents usd eur gbp percent pct degree degrees celsius fahrenheit mph kmh"
 ).split()
 #: Placeholders that a window may hold and still match by type; with more, its values must match.
-SLOTS = 3
+SLOTS = 5
 #: Benchmark windows up to which they are broadcast; beyond, the join shuffles.
 BROADCAST_ROWS = 200_000
 #: Anchors up to which documents look for them in the row; beyond, they make all their windows.
@@ -96,7 +96,7 @@ def anchors(known: DataFrame) -> DataFrame:
     """(w, pair): each window's anchor and the hash of anchor, second word and their distance.
 
     They are the two of its words that must be the same which fewest benchmark windows have, the longest of those.
-    A window has five such words at least.
+    A window has three such words at least.
     """
     words = known.select("h", F.inline("sure")).dropDuplicates(["h", "k"])
     rarity = words.groupBy("w").agg(F.count("*").alias("n"))
@@ -117,7 +117,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str
     n = known.count()
     few = anchors(known).limit(ANCHORS + 1).collect()
     hits = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("doc"), words_of(F.col(text)).alias("__w"))
-    if 0 < len(few) <= ANCHORS:
+    if not few:
+        starts = F.array().cast("array<int>")
+    elif len(few) <= ANCHORS:
         first, second = sorted({r["w"] for r in few}), sorted({r["pair"] for r in few})
         hits = hits.withColumn("__a", F.array_compact(F.transform("__w", lambda w, i: F.when(_plain(w).isin(first), i))))
         beside = lambda p: F.exists(F.sequence(F.lit(1 - size), F.lit(size - 1)), lambda d: _pair(_plain(F.get("__w", p)), _plain(F.get("__w", p + d)), d).isin(second))
