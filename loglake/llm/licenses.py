@@ -85,7 +85,8 @@ def look_up(template: Template, df: dict[str, int]) -> list[int]:
 def scan(docs: DataFrame, text: str = "text", templates: tuple[Template, ...] = TEMPLATES, df: dict[str, int] | None = None) -> DataFrame:
     """docs with n_words, n_base, first_word, last_word, base_labels, labels, score and places.
 
-    places: (label, start, score) of every verified place, base phrases included. first_word and last_word: smallest
+    places: (label, start of its first key phrase, score) of every verified place, base phrases included; what comes
+    before the key phrase in a template may lack. first_word and last_word: smallest
     and largest start of a base phrase, null without one. labels: distinct labels, sorted, comma-joined; '' for none.
     score: the largest share of a template's words that stand at a verified place, 0 for none. Null and empty texts
     have no words. Rows don't depend on each other, but for the frequencies (df, counted over docs if not given),
@@ -110,9 +111,9 @@ def scan(docs: DataFrame, text: str = "text", templates: tuple[Template, ...] =
         starts = [starts_by(t.sequence[k], k) for k in ks]
         both = F.array_intersect(*starts) if len(starts) == 2 else starts[0]
         at = lambda o, k: F.coalesce(F.get("__w", o + k) == t.sequence[k], F.lit(False))
-        good = F.filter(both, lambda o: (o >= 0) & reduce(lambda a, b: a & b, [at(o, k) for k in t.mandatory]))
+        good = F.filter(both, lambda o: reduce(lambda a, b: a & b, [at(o, k) for k in t.mandatory]))
         share = lambda o: reduce(lambda a, b: a + b, [at(o, k).cast("int") for k in range(len(t.sequence))]) / F.lit(float(len(t.sequence)))
-        return F.transform(good, lambda o: F.struct(F.lit(t.label).alias("label"), o.cast("long").alias("start"), share(o).alias("score"), F.lit(t.base).alias("base")))
+        return F.transform(good, lambda o: F.struct(F.lit(t.label).alias("label"), (o + t.mandatory[0]).cast("long").alias("start"), share(o).alias("score"), F.lit(t.base).alias("base")))
 
     every = F.concat(*[places(t, ks) for t, ks in zip(templates, keys, strict=True)])
     empty = F.array().cast("array<struct<label:string,start:bigint,score:double,base:boolean>>")
@@ -143,7 +144,7 @@ split AS (
   SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM split
 ), hits AS (
   SELECT doc_id, tpl, any_value(label) AS label, any_value(base) AS base, i - k AS start, count(*) / any_value(n)::DOUBLE AS score
-  FROM words JOIN idx USING (w) WHERE i >= k
+  FROM words JOIN idx USING (w)
   GROUP BY doc_id, tpl, i - k HAVING count(*) FILTER (must) = any_value(n_must)
 ), per AS (
   SELECT doc_id, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
