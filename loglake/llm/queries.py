@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglake.llm import bpe, chat, common, decontaminate, language_id, licenses, minhash, quality, suffix_dedup, toxicity, vamana
+from loglake.llm import bpe, chat, common, decontaminate, language_id, licenses, minhash, quality, sql, suffix_dedup, toxicity, vamana
 from loglake.llm.common import table
 
 
@@ -74,4 +74,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_license_scan": licenses.oracle_sql(), "op9_chat_format": chat.ORACLE_SQL}
+    return {"op2_minhash_dedup": sql.NEAR_DUPLICATES, "op4_suffix_dedup": sql.REPEATS, "op8_license_scan": licenses.oracle_sql(), "op9_chat_format": chat.ORACLE_SQL}
