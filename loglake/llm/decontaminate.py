@@ -6,8 +6,8 @@ windows of `size` tokens of documents are hash-joined with those of the benchmar
 Windows that agree on an alignment (position in the document minus position in the item)
 are evidence together if enough of them do and if their slots are consistent: one
 benchmark value always stands for one document value and the other way round. So
-questions with other numbers and names are caught, and a window with many placeholders
-counts only with its own values.
+questions with other numbers and names are caught. Windows also match by their plain
+words, which is the only way for those with many placeholders.
 
 Each benchmark window has an anchor, the rarest of its words that must be the same, and a
 second such word at a fixed distance. Documents make only the windows around places where
@@ -26,7 +26,7 @@ UNITS = (
     "meter meters metre metres mile miles inch inches foot feet gram grams kilogram kilograms pound pounds liter liters litre litres "
     "dollar dollars euro euros cent cents usd eur gbp percent pct degree degrees celsius fahrenheit mph kmh"
 ).split()
-#: Placeholders that a window may hold and still match by type; with more, its values must match.
+#: Placeholders that a window may hold and still match by type.
 SLOTS = 5
 #: Benchmark windows up to which they are broadcast; beyond, the join shuffles.
 BROADCAST_ROWS = 200_000
@@ -57,10 +57,11 @@ def _token(words: Column, i: Column) -> Column:
     return F.when(_plain(w).rlike("^[0-9]"), F.lit("<num>")).when(named, F.lit("<name>")).when(_plain(w).isin(UNITS) & after, F.lit("<unit>")).otherwise(_plain(w))
 
 
-def _window(words: Column, i: Column, size: int) -> Column:
-    """(place, h, slots, tokens) of the window that begins at i.
+def _windows(words: Column, i: Column, size: int) -> Column:
+    """array of (place, h, slots, sure) of the window that begins at i: one for its words, one for its template.
 
-    h: hash of its typed tokens, or of its words where too many are slots. slots: position and value of each.
+    h: hash of the plain words, or of the typed tokens unless too many are slots. slots: their values. sure: words, with
+    their positions in the window, that any match has. So copies in another case match as well as re-parameterised ones.
     """
     tokens = F.transform(F.sequence(i, i + (size - 1)), lambda j: _token(words, j))
     slot = lambda t: F.startswith(t, F.lit("<"))
@@ -69,9 +70,11 @@ def _window(words: Column, i: Column, size: int) -> Column:
     def made(x: Column) -> Column:
         few = F.size(F.filter(x["t"], slot)) <= SLOTS
         said = F.array_compact(F.zip_with(x["t"], x["v"], lambda t, v: F.when(slot(t), v)))
-        fixed = F.filter(F.transform(x["t"], lambda t, k: F.when(~(few & slot(t)), k)), lambda k: k.isNotNull())
-        sure = F.transform(fixed, lambda k: F.struct(F.get(x["v"], k).alias("w"), k.alias("k")))
-        return F.struct(i.cast("int").alias("place"), F.when(few, F.xxhash64(x["t"])).otherwise(F.xxhash64(F.lit("values"), x["v"])).alias("h"), said.alias("slots"), sure.alias("sure"))
+        fixed = F.filter(F.transform(x["t"], lambda t, k: F.when(~slot(t), k)), lambda k: k.isNotNull())
+        sure = lambda places: F.transform(places, lambda k: F.struct(F.get(x["v"], k).alias("w"), k.alias("k")))
+        kind = lambda h, slots, places: F.struct(i.cast("int").alias("place"), h.alias("h"), slots.cast("array<string>").alias("slots"), sure(places).alias("sure"))
+        plain = kind(F.xxhash64(F.lit("values"), x["v"]), F.array(), F.sequence(F.lit(0), F.lit(size - 1)))
+        return F.array_compact(F.array(plain, F.when(few, kind(F.xxhash64(x["t"]), said, fixed))))
 
     return F.transform(F.array(F.struct(tokens.alias("t"), values.alias("v"))), made)[0]
 
@@ -84,7 +87,7 @@ def windows(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
     """All windows of the benchmark: key, number of windows of the item, place, hash, slot values, words that must be the same."""
     words = df.select(key, words_of(F.col(text)).alias("__w"))
     # No filter on what is made here: pushed down, it would repeat the making inside the lambdas.
-    spread = F.transform(_starts(F.col("__w"), size), lambda i: _window(F.col("__w"), i, size))
+    spread = F.flatten(F.transform(_starts(F.col("__w"), size), lambda i: _windows(F.col("__w"), i, size)))
     return words.select(key, (F.size("__w") - size + 1).alias("of"), F.inline_outer(spread)).where("h is not null")
 
 
@@ -129,7 +132,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str
     else:
         starts = _starts(F.col("__w"), size)
     hits = hits.withColumn("__s", starts)
-    spread = F.transform("__s", lambda i: _window(F.col("__w"), i, size))
+    spread = F.flatten(F.transform("__s", lambda i: _windows(F.col("__w"), i, size)))
     hits = hits.select("doc", F.inline_outer(spread)).where("h is not null").select("doc", F.col("place").alias("pos"), "h", F.col("slots").alias("said"))
     known = known.select("item", "of", "place", "h", "slots")
     pairs = hits.join(F.broadcast(known) if n <= BROADCAST_ROWS else known, "h")
