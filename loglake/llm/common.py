@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,10 +29,18 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def _release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of steps that nothing refers to any more: it learns that from the JVM's collector."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Cut the lineage: the rows go to reliable storage once and are read back from there."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    _release(df.sparkSession)
+    return out
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -39,10 +48,19 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/loglake/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
+def dropped(df: DataFrame) -> None:
+    """Delete a table of written() that no later step reads."""
+    spark = df.sparkSession
+    for path in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def small_batches(spark: SparkSession, rows: int = 128) -> None:
     """Arrow batches of whole texts: a bounded number of rows, so that a batch of long texts fits a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 

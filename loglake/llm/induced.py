@@ -139,7 +139,7 @@ class Text:
         change = np.flatnonzero(symbols[1:] != symbols[:-1])
         rises = symbols[change + 1] > symbols[change]
         self.s = np.repeat(np.append(rises, True), np.diff(np.concatenate([[-1], change, [n - 1]])))
-        self.lms = np.flatnonzero(self.s[1:] & ~self.s[:-1]) + 1
+        self.lms = (np.flatnonzero(self.s[1:] & ~self.s[:-1]) + 1).astype(np.int32 if n < 1 << 31 else np.int64)
         self.n_symbols = int(symbols.max()) + 1
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -270,7 +270,7 @@ def suffix_order(symbols: np.ndarray, cap: int = 100) -> tuple[np.ndarray, np.nd
         is_lms = np.zeros(len(symbols), dtype=bool)
         is_lms[lms] = True
         seeds = rough[is_lms[rough]]
-        ends = np.zeros(len(symbols), dtype=np.int64)
+        ends = np.zeros(len(symbols), dtype=lms.dtype)
         ends[lms] = np.append(lms[1:], len(symbols) - 1)
         a, b = seeds[:-1], seeds[1:]
         la, lb = ends[a] - a, ends[b] - b
@@ -282,7 +282,7 @@ def suffix_order(symbols: np.ndarray, cap: int = 100) -> tuple[np.ndarray, np.nd
             differ = symbols[a[open_] + k] != symbols[b[open_] + k]
             same[open_[differ]] = False
             open_, k = open_[~differ], k + 1
-        names = np.empty(len(symbols), dtype=np.int64)
+        names = np.empty(len(symbols), dtype=lms.dtype)
         names[seeds] = np.cumsum(np.append(False, ~same))
         if not same.any():
             order = seeds

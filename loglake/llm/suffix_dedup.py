@@ -20,14 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loglake.llm import common
-from loglake.llm.common import written
+from loglake.llm.common import dropped, written
 from loglake.llm.induced import suffix_order
 from loglake.llm.minhash import BACK, BYTE, STEP, _mixed, _powers
 
 GRAM = 24
 #: Bytes of a text handled at once; bytes of segments that a shard is meant to hold.
 BLOCK = 1 << 19
-SHARD = 2 << 20
+SHARD = 1 << 20
 POSITION = np.uint64(20)
 UP, DOWN = _powers(STEP, BLOCK + 1024), _powers(BACK, BLOCK + 1024)
 
@@ -100,8 +100,8 @@ def repeated_windows(texts: list[bytes], ids: np.ndarray, starts: np.ndarray, co
     symbols[ends] = 1
     symbols = np.append(symbols, 0).astype(np.uint16)
     order, shared = suffix_order(symbols, width)
-    group = np.cumsum(shared < width)
-    segment = np.repeat(np.arange(len(texts)), lengths)
+    group = np.cumsum(shared < width, dtype=np.int32)
+    segment = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
     inner = order < len(segment)
     order, group = order[inner], group[inner]
     segment = segment[order]
@@ -155,9 +155,13 @@ def repeats(docs: DataFrame, width: int = 100) -> DataFrame:
 
     wanted = sort.groupBy(F.col("e.id").alias("id")).agg(F.collect_list(F.struct("a", "g", F.col("e.s").alias("s"), "n")).alias("x"))
     bytes_ = docs.select("id", "b").join(wanted, "id").select("id", "x", "b").mapInArrow(cut, "a long, g long, id long, s int, n short, t binary")
-    sorted_ = bytes_.repartition(shards, "a").mapInArrow(arrange, "id long, first long, last long")
+    # Written, so that the shuffled texts and segments can go before the next step.
+    sorted_ = written(bytes_.repartition(shards, "a").mapInArrow(arrange, "id long, first long, last long"))
     copies = found.join(classes.select("a", "g", "e"), ["a", "g"]).where((F.col("id") != F.col("e.id")) | (F.col("s") != F.col("e.s"))).select("id", F.col("s").cast("long").alias("first"), (F.col("s").cast("long") + F.col("n") - 1).alias("last"))
-    return sorted_.unionByName(copies).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs"))
+    runs = written(sorted_.unionByName(copies).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs")))
+    for table in (found, classes, sorted_):
+        dropped(table)
+    return runs
 
 
 def merged(runs: list[dict], width: int) -> list[tuple[int, int]]:
