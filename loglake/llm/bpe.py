@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,7 +33,7 @@ from loglake.llm import common
 SUFFIX = "</w>"
 NEVER = 1 << 60
 #: Words and pairs that a worker remembers before it starts afresh; longer words are not remembered.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 REMEMBERED_LENGTH = 64
 #: The last symbol of a word is another symbol than the same byte elsewhere.
 MARK = 0xE000
@@ -90,7 +91,7 @@ class Words(dict):
         self.bpe = bpe
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.asarray(self.bpe.word(word), dtype=np.int32).tobytes()
+        ids = array("i", self.bpe.word(word)).tobytes()
         if len(word) <= REMEMBERED_LENGTH:
             if len(self) >= REMEMBERED:
                 self.clear()
@@ -137,7 +138,7 @@ class Bpe:
             self.find.add_word(own, (len(own), i))
         self.find.make_automaton()
         self.bytes_to_symbols = str.maketrans({chr(b): s for b, s in enumerate(self.symbol)})
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.words = Words(self)
 
     def _marked(self, symbols: str) -> str:
@@ -150,10 +151,6 @@ class Bpe:
         first. The pair that stands there is merged if its merge comes before the ones that join either part
         to its neighbour; of equal merges the leftmost comes first.
         """
-        key = (left, right)
-        known = self.pairs.get(key)
-        if known is not None:
-            return known
         a, b, next_a, next_b, good = left, right, NEVER, NEVER, True
         while True:
             crossing = self.merge.get((a, b))
@@ -169,22 +166,30 @@ class Bpe:
                 next_b, b = rank_b, self.parts[b][0]
         if len(self.pairs) >= REMEMBERED:
             self.pairs.clear()
-        self.pairs[key] = good
+        self.pairs[left << 20 | right] = good
         return good
 
     def word(self, word: str) -> list[int]:
         """The ids of one word (a match of the split pattern)."""
         s = self._marked(word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.bytes_to_symbols))
         n = len(s)
-        last, back = [-1] * n, [0] * n
-        compatible = self.compatible
+        # last[k]: the last token of the prefix of k symbols; no token is needed before the empty prefix.
+        last, back = [-1] * (n + 1), [0] * (n + 1)
+        known = self.pairs.get
         for end, (length, token) in self.find.iter(s):
+            end += 1
             if last[end] < 0:
                 before = end - length
-                if before < 0 or (last[before] >= 0 and compatible(last[before], token)):
-                    last[end], back[end] = token, length
-        out, k = [], n - 1
-        while k >= 0:
+                if before:
+                    left = last[before]
+                    if left < 0:
+                        continue
+                    good = known(left << 20 | token)
+                    if good is False or good is None and not self.compatible(left, token):
+                        continue
+                last[end], back[end] = token, length
+        out, k = [], n
+        while k:
             out.append(last[k])
             k -= back[k]
         out.reverse()
