@@ -182,7 +182,7 @@ def train(
     return model
 
 
-def fit(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_id", bound: int = 4000, bits: int = 16, **options) -> Model:
+def fit(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_id", bound: int = 2000, bits: int = 16, **options) -> Model:
     """Train from at most `bound` labelled rows of docs (those whose key hash is smallest).
 
     Null texts, null labels and texts without a letter are not learned from; without any, the model rejects all. Executors turn the sampled
@@ -190,18 +190,20 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "do
     """
     rows = common.sample_rows(docs.where(F.col(label).isNotNull() & F.col(text).isNotNull()), key, bound)
     common.small_batches(docs.sparkSession)
+    small = np.uint16 if bits <= 16 else np.uint32
 
     def bags(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             both = [bag(t, bits) for t in part["t"]]
-            yield pd.DataFrame({"k": part["k"], "y": part["y"], "ids": [x[0].astype(np.int32).tobytes() for x in both], "n": [x[1].astype(np.int32).tobytes() for x in both]})
+            yield pd.DataFrame({"k": part["k"], "y": part["y"], "ids": [x[0].astype(small).tobytes() for x in both], "n": [x[1].astype(np.int32).tobytes() for x in both]})
 
     got = rows.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(label).cast("string").alias("y")).mapInPandas(bags, "k long, y string, ids binary, n binary").toPandas()
-    got = got[got["ids"].map(len) > 0].sort_values("k")
-    if got.empty:
+    found = sorted((k, y, i, n) for k, y, i, n in got.itertuples(index=False, name=None) if len(i))
+    del got
+    if not found:
         return Model([], np.zeros((1 << bits, 0), dtype=np.float32), bits, 1.0, 0.0)
     # Bytes, not lists: a sample of texts of any length stays small on the driver.
-    return train([(np.frombuffer(i, dtype=np.int32), np.frombuffer(n, dtype=np.int32)) for i, n in zip(got["ids"], got["n"], strict=True)], list(got["y"]), bits, **options)
+    return train([(np.frombuffer(i, dtype=small), np.frombuffer(n, dtype=np.int32)) for _, _, i, n in found], [y for _, y, _, _ in found], bits, **options)
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
