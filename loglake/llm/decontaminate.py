@@ -7,7 +7,8 @@ Windows that agree on an alignment (position in the document minus position in t
 are evidence together if enough of them do and if their slots are consistent: one
 benchmark value always stands for one document value and the other way round. So
 questions with other numbers and names are caught. Windows also match by their plain
-words, which is the only way for those with many placeholders.
+words, which is the only way for those with many placeholders and asks for no slots: one
+edited value doesn't hide the verbatim rest.
 
 Each benchmark window has an anchor, the rarest of its words that must be the same, and a
 second such word at a fixed distance. Documents make only the windows around places where
@@ -111,9 +112,9 @@ def anchors(known: DataFrame) -> DataFrame:
 def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item: str = "item_id", item_text: str = "text", size: int = 8, least: int = 6) -> DataFrame:
     """(key, item, offset, n_windows, n_slots, exact): alignments of documents with items that count as leaks.
 
-    An alignment counts if `least` of its windows agree (all windows, for items with fewer) and its slots are
-    consistent; exact: all slot values are the item's own. Every copy of a passage is a row of its own, found by its
-    own document. Texts that are null or shorter than a window match nothing, on either side; repeated document rows
+    An alignment counts if `least` of its windows (all windows, for items with fewer) agree by their plain words, or if
+    so many agree and the slots of those that don't agree by their plain words are consistent; exact: all slot values
+    are the item's own. Every copy of a passage is a row of its own, found by its own document. Texts that are null or shorter than a window match nothing, on either side; repeated document rows
     count as one document, repeated items as items; null keys are left out. Empty tables give no rows.
     """
     known = settle(windows(benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("__text")), "item", "__text", size))
@@ -137,11 +138,16 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str
     known = known.select("item", "of", "place", "h", "slots")
     pairs = hits.join(F.broadcast(known) if n <= BROADCAST_ROWS else known, "h")
     slots = F.zip_with("slots", "said", lambda x, y: F.struct(x.alias("b"), y.alias("d")))
-    aligned = pairs.groupBy("doc", "item", (F.col("pos") - F.col("place")).alias("offset")).agg(
-        F.countDistinct("place").alias("n_windows"), F.max("of").alias("of"), F.array_distinct(F.flatten(F.collect_set(slots))).alias("slots"),
+    at = pairs.groupBy("doc", "item", (F.col("pos") - F.col("place")).alias("offset"), "place").agg(
+        F.max("of").alias("of"), F.max(F.size("slots") == 0).alias("plain"), F.array_distinct(F.flatten(F.collect_set(slots))).alias("slots"),
     )
-    consistent = (F.size("slots") == F.size(F.array_distinct(F.col("slots.b")))) & (F.size("slots") == F.size(F.array_distinct(F.col("slots.d"))))
-    return aligned.where((F.col("n_windows") >= F.least(F.lit(least), F.col("of"))) & consistent).select(
+    aligned = at.groupBy("doc", "item", "offset").agg(
+        F.count("*").alias("n_windows"), F.max("of").alias("of"), F.count_if("plain").alias("n_plain"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
+        F.array_distinct(F.flatten(F.collect_set(F.when(~F.col("plain"), F.col("slots"))))).alias("other"),
+    )
+    need = F.least(F.lit(least), F.col("of"))
+    one_to_one = (F.size("other") == F.size(F.array_distinct(F.col("other.b")))) & (F.size("other") == F.size(F.array_distinct(F.col("other.d"))))
+    return aligned.where((F.col("n_plain") >= need) | (F.col("n_windows") >= need) & one_to_one).select(
         F.col("doc").alias(key), F.col("item").alias(item), "offset", "n_windows", F.size("slots").alias("n_slots"), (~F.exists("slots", lambda x: x["b"] != x["d"])).alias("exact"),
     )
 

@@ -246,6 +246,17 @@ def test_leaks(spark, documents, prose):
     assert decontaminate.leaks(rows, benchmark.limit(0)).count() == 0 and decontaminate.leaks(rows.limit(0), benchmark).count() == 0
 
 
+def test_leaks_with_an_edited_value(spark, prose):
+    """One of two equal names or numbers was changed: the verbatim windows are still a leak."""
+    item = f"{prose.text(10)[:-1]} in Paris {prose.text(14)[:-1].lower()} of 75 {prose.text(8)[:-1].lower()} to Paris {prose.text(12)[:-1].lower()} of 75 people."
+    other = "The train from Paris to Berlin covers 878 km in 9 hours while the old driver of the red bus sleeps under heavy rain near the river Rhine and wakes in Paris."
+    docs = [(1, item.replace("to Paris", "to Rome")), (2, item.replace("of 75 people", "of 80 people")), (3, item)]
+    docs += [(4, other.replace("from Paris", "from Rome").replace("878", "900").replace("in Paris", "in Oslo")), (5, prose.text(60))]
+    rows = spark.createDataFrame([(k, f"{prose.text(20)} {t} {prose.text(20)}") for k, t in docs], "doc_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.leaks(rows, spark.createDataFrame([(0, item), (1, other)], "item_id long, text string")).collect()}
+    assert set(got) == {1, 2, 3, 4} and got[3].exact and not got[1].exact and not got[2].exact
+
+
 def test_leaks_without_anchors(spark, prose, monkeypatch):
     """Beyond the limits the join shuffles and documents make all their windows; the result is the same."""
     item = prose.text(30)
