@@ -1,7 +1,9 @@
 """Benchmark decontamination with template windows.
 
 Texts become sequences of typed tokens: numbers are <num>, units after a number <unit>,
-capitalised words within a sentence <name>, everything else its lower-cased word. All
+capitalised words within a sentence <name>, everything else its lower-cased word. A
+capitalised word that begins a sentence or line may be a name or not: windows with such
+words have a second template in which they are <name> as well. All
 windows of `size` tokens of documents are hash-joined with those of the benchmark.
 Windows that agree on an alignment (position in the document minus position in the item)
 are evidence together if enough of them do and if their slots are consistent: one
@@ -49,35 +51,42 @@ def _plain(w: Column) -> Column:
     return F.lower(F.replace(w, F.lit("\n"), F.lit("")))
 
 
-def _token(words: Column, i: Column) -> Column:
-    """The typed token at i. Comparisons of first letters decide; a unit needs a number before it."""
+def _token(words: Column, i: Column, begun: bool = False) -> Column:
+    """The typed token at i. Comparisons of first letters decide; a unit needs a number before it. begun: words that begin a sentence may be names."""
     w = F.get(words, i)
-    first, second = F.substring(w, 1, 1), F.substring(w, 2, 1)
+    shown = F.replace(w, F.lit("\n"), F.lit("")) if begun else w
+    first, second = F.substring(shown, 1, 1), F.substring(shown, 2, 1)
     after = F.coalesce(F.get(words, i - 1).rlike("^\n?[0-9]"), F.lit(False))
     named = (first != F.lower(first)) & (second != F.upper(second))
     return F.when(_plain(w).rlike("^[0-9]"), F.lit("<num>")).when(named, F.lit("<name>")).when(_plain(w).isin(UNITS) & after, F.lit("<unit>")).otherwise(_plain(w))
 
 
 def _windows(words: Column, i: Column, size: int) -> Column:
-    """array of (place, h, slots, sure) of the window that begins at i: one for its words, one for its template.
+    """array of (place, h, slots, sure, kind) of the window that begins at i: for its words (kind 0), its template (1), and the
+    template in which capitalised words that begin a sentence are names (2), if it is another.
 
     h: hash of the plain words, or of the typed tokens unless too many are slots. slots: their values. sure: words, with
     their positions in the window, that any match has. So copies in another case match as well as re-parameterised ones.
     """
-    tokens = F.transform(F.sequence(i, i + (size - 1)), lambda j: _token(words, j))
+    places = F.sequence(i, i + (size - 1))
+    tokens, named = F.transform(places, lambda j: _token(words, j)), F.transform(places, lambda j: _token(words, j, True))
     slot = lambda t: F.startswith(t, F.lit("<"))
     values = F.transform(F.slice(words, i + 1, F.lit(size)), _plain)
 
     def made(x: Column) -> Column:
-        few = F.size(F.filter(x["t"], slot)) <= SLOTS
-        said = F.array_compact(F.zip_with(x["t"], x["v"], lambda t, v: F.when(slot(t), v)))
-        fixed = F.filter(F.transform(x["t"], lambda t, k: F.when(~slot(t), k)), lambda k: k.isNotNull())
         sure = lambda places: F.transform(places, lambda k: F.struct(F.get(x["v"], k).alias("w"), k.alias("k")))
-        kind = lambda h, slots, places: F.struct(i.cast("int").alias("place"), h.alias("h"), slots.cast("array<string>").alias("slots"), sure(places).alias("sure"))
-        plain = kind(F.xxhash64(F.lit("values"), x["v"]), F.array(), F.sequence(F.lit(0), F.lit(size - 1)))
-        return F.array_compact(F.array(plain, F.when(few, kind(F.xxhash64(x["t"]), said, fixed))))
+        kind = lambda n, h, slots, places: F.struct(i.cast("int").alias("place"), h.alias("h"), slots.cast("array<string>").alias("slots"), sure(places).alias("sure"), F.lit(n).alias("kind"))
 
-    return F.transform(F.array(F.struct(tokens.alias("t"), values.alias("v"))), made)[0]
+        def typed(n: int, tokens: Column) -> Column:
+            few = F.size(F.filter(tokens, slot)) <= SLOTS
+            said = F.array_compact(F.zip_with(tokens, x["v"], lambda t, v: F.when(slot(t), v)))
+            fixed = F.filter(F.transform(tokens, lambda t, k: F.when(~slot(t), k)), lambda k: k.isNotNull())
+            return F.when(few, kind(n, F.xxhash64(tokens), said, fixed))
+
+        plain = kind(0, F.xxhash64(F.lit("values"), x["v"]), F.array(), F.sequence(F.lit(0), F.lit(size - 1)))
+        return F.array_compact(F.array(plain, typed(1, x["t"]), F.when(x["t"] != x["b"], typed(2, x["b"]))))
+
+    return F.transform(F.array(F.struct(tokens.alias("t"), named.alias("b"), values.alias("v"))), made)[0]
 
 
 def _starts(words: Column, size: int) -> Column:
@@ -113,8 +122,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str
     """(key, item, offset, n_windows, n_slots, exact): alignments of documents with items that count as leaks.
 
     An alignment counts if `least` of its windows (all windows, for items with fewer) agree by their plain words, or if
-    so many agree and the slots of those that don't agree by their plain words are consistent; exact: all slot values
-    are the item's own. Every copy of a passage is a row of its own, found by its own document. Texts that are null or shorter than a window match nothing, on either side; repeated document rows
+    so many agree and the slots of those that don't agree by their plain words are consistent, with the second templates
+    or without; exact: all slot values are the item's own. Every copy of a passage is a row of its own, found by its own document. Texts that are null or shorter than a window match nothing, on either side; repeated document rows
     count as one document, repeated items as items; null keys are left out. Empty tables give no rows.
     """
     known = settle(windows(benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("__text")), "item", "__text", size))
@@ -134,20 +143,26 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str
         starts = _starts(F.col("__w"), size)
     hits = hits.withColumn("__s", starts)
     spread = F.flatten(F.transform("__s", lambda i: _windows(F.col("__w"), i, size)))
-    hits = hits.select("doc", F.inline_outer(spread)).where("h is not null").select("doc", F.col("place").alias("pos"), "h", F.col("slots").alias("said"))
-    known = known.select("item", "of", "place", "h", "slots")
+    hits = hits.select("doc", F.inline_outer(spread)).where("h is not null").select("doc", F.col("place").alias("pos"), "h", F.col("slots").alias("said"), F.col("kind").alias("as"))
+    known = known.select("item", "of", "place", "h", "slots", "kind")
     pairs = hits.join(F.broadcast(known) if n <= BROADCAST_ROWS else known, "h")
     slots = F.zip_with("slots", "said", lambda x, y: F.struct(x.alias("b"), y.alias("d")))
+    # Slots of words that begin a sentence count only where nothing else agrees.
+    second = (F.col("kind") == 2) | (F.col("as") == 2)
     at = pairs.groupBy("doc", "item", (F.col("pos") - F.col("place")).alias("offset"), "place").agg(
-        F.max("of").alias("of"), F.max(F.size("slots") == 0).alias("plain"), F.array_distinct(F.flatten(F.collect_set(slots))).alias("slots"),
+        F.max("of").alias("of"), F.max(F.size("slots") == 0).alias("plain"), F.min(second).alias("second"),
+        F.flatten(F.collect_set(F.when(~second, slots))).alias("one"), F.flatten(F.collect_set(F.when(second, slots))).alias("two"),
     )
+    at = at.withColumn("slots", F.when(F.col("second"), F.col("two")).otherwise(F.col("one")))
+    united = lambda which: F.array_distinct(F.flatten(F.collect_set(F.when(which, F.col("slots")))))
     aligned = at.groupBy("doc", "item", "offset").agg(
-        F.count("*").alias("n_windows"), F.max("of").alias("of"), F.count_if("plain").alias("n_plain"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
-        F.array_distinct(F.flatten(F.collect_set(F.when(~F.col("plain"), F.col("slots"))))).alias("other"),
+        F.count("*").alias("n_windows"), F.max("of").alias("of"), F.count_if("plain").alias("n_plain"), F.count_if(~F.col("second")).alias("n_first"),
+        united(F.lit(True)).alias("slots"), united(~F.col("plain")).alias("other"), united(~F.col("plain") & ~F.col("second")).alias("first"),
     )
     need = F.least(F.lit(least), F.col("of"))
-    one_to_one = (F.size("other") == F.size(F.array_distinct(F.col("other.b")))) & (F.size("other") == F.size(F.array_distinct(F.col("other.d"))))
-    return aligned.where((F.col("n_plain") >= need) | (F.col("n_windows") >= need) & one_to_one).select(
+    one_to_one = lambda x: (F.size(x) == F.size(F.array_distinct(F.col(x)["b"]))) & (F.size(x) == F.size(F.array_distinct(F.col(x)["d"])))
+    enough = (F.col("n_plain") >= need) | (F.col("n_first") >= need) & one_to_one("first") | (F.col("n_windows") >= need) & one_to_one("other")
+    return aligned.where(enough).select(
         F.col("doc").alias(key), F.col("item").alias(item), "offset", "n_windows", F.size("slots").alias("n_slots"), (~F.exists("slots", lambda x: x["b"] != x["d"])).alias("exact"),
     )
 

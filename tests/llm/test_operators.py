@@ -257,6 +257,18 @@ def test_leaks_with_an_edited_value(spark, prose):
     assert set(got) == {1, 2, 3, 4} and got[3].exact and not got[1].exact and not got[2].exact
 
 
+def test_leaks_with_other_names_first(spark, prose):
+    """Names that begin a sentence or a line, or follow an abbreviation, may be swapped too, but only consistently."""
+    item = "Tom has 5 apples in a red basket. Tom gives 2 apples to his sister. Anna eats 1 apple after the dinner. How many apples does Tom have?"
+    other = item.replace("Tom", "Bob").replace("Anna", "Lisa").replace("5", "7").replace("2", "3").replace("1", "4")
+    led = "After lunch the old and tired Dr. Miller walks 5 km to the house of his sister in the next village"
+    docs = [(1, other), (2, other.replace(". ", ".\n")), (3, f"Question: {other}"), (4, led.replace("Miller", "Smith").replace("5", "8"))]
+    clean = [(5, "Bob has 7 apples in a red basket. Max gives 7 pears to her brother. Lisa eats 4 pears before the lunch. How many pears does Eve want?"), (6, prose.text(60))]
+    rows = spark.createDataFrame(docs + clean, "doc_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.leaks(rows, spark.createDataFrame([(0, item), (1, led)], "item_id long, text string")).collect()}
+    assert set(got) == {1, 2, 3, 4} and not got[1].exact
+
+
 def test_leaks_without_anchors(spark, prose, monkeypatch):
     """Beyond the limits the join shuffles and documents make all their windows; the result is the same."""
     item = prose.text(30)
