@@ -7,7 +7,9 @@ are dropped first (a count over all documents), and equal segments are one class
 its earliest place; what is left is dealt over shards, and each shard's segments are
 suffix-sorted by external induction (see induced.py), with common prefixes. Neighbours
 in that order with a common prefix of `width` are equal windows; the earliest stays.
-Later members of a class repeat the first in all their windows.
+Later members of a class repeat the first in all their windows. An anchor with more
+different segments than a shard may hold is split exactly: its windows are dealt by a
+64-bit hash of their bytes instead, and of equal ones the earliest stays.
 """
 
 from __future__ import annotations
@@ -25,9 +27,10 @@ from loglake.llm.induced import suffix_order
 from loglake.llm.minhash import BACK, BYTE, STEP, _mixed, _powers
 
 GRAM = 24
-#: Bytes of a text handled at once; bytes of segments that a shard is meant to hold.
+#: Bytes of a text handled at once; bytes of segments that a shard is meant to hold; those of one anchor are at most SPLIT times that.
 BLOCK = 1 << 19
 SHARD = 1 << 20
+SPLIT = 2
 POSITION = np.uint64(20)
 UP, DOWN = _powers(STEP, BLOCK + 1024), _powers(BACK, BLOCK + 1024)
 
@@ -92,6 +95,23 @@ def all_segments(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("id", "b").mapInArrow(run, "id long, a long, s int, n short, g long")
 
 
+def spread_windows(docs: DataFrame, width: int) -> DataFrame:
+    """(a, h, id, p): anchor, hash, document and place of each window of the segments x of docs (id, x, b)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, wanted, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _bytes(batch.column(2)), strict=True):
+                h = []
+                for x in wanted:
+                    total = np.append(np.uint64(0), np.cumsum(BYTE[data[x["s"] : x["s"] + x["n"] + width - 1]] * UP[: x["n"] + width - 1]))
+                    h.append(_mixed((total[width:] - total[:-width]) * DOWN[: x["n"]], BACK).astype(np.int64))
+                n = [x["n"] for x in wanted]
+                p = np.concatenate([x["s"] + np.arange(x["n"], dtype=np.int64) for x in wanted])
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array([x["a"] for x in wanted], dtype=np.int64), n)), pa.array(np.concatenate(h)), pa.array(np.full(len(p), i, dtype=np.int64)), pa.array(p)], names=["a", "h", "id", "p"])
+
+    return docs.select("id", "x", "b").mapInArrow(run, "a long, h long, id long, p long")
+
+
 def repeated_windows(texts: list[bytes], ids: np.ndarray, starts: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(segment, window): windows of a shard's segments that also start earlier in one of them, by suffix sorting."""
     lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1
@@ -130,10 +150,11 @@ def repeats(docs: DataFrame, width: int = 100) -> DataFrame:
     often = anchor_counts(docs, width).groupBy("a").agg(F.sum("k").alias("k")).where("k > 1").select("a")
     found = written(all_segments(docs, width).join(often, "a", "left_semi"))
     classes = written(found.groupBy("a", "g").agg(F.min(F.struct("id", "s")).alias("e"), F.max("n").alias("n")))
-    several = classes.groupBy("a").agg(F.count("*").alias("k")).where("k > 1").select("a")
-    sort = classes.join(several, "a", "left_semi")
-    total = sort.agg(F.sum(F.col("n") + F.lit(width))).collect()[0][0] or 0
-    shards = max(spark.sparkContext.defaultParallelism, -(-total // SHARD))
+    several = classes.groupBy("a").agg(F.count("*").alias("k"), F.sum(F.col("n") + F.lit(width)).alias("size")).where("k > 1")
+    large = F.col("size") > SPLIT * SHARD
+    sort = classes.join(several.where(~large), "a", "left_semi")
+    total, hot = several.agg(F.sum(F.when(~large, F.col("size"))), F.count_if(large)).first()
+    shards = max(spark.sparkContext.defaultParallelism, -(-(total or 0) // SHARD))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,13 +174,24 @@ def repeats(docs: DataFrame, width: int = 100) -> DataFrame:
         at = segment[first]
         yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(s[at] + window[first]), pa.array(s[at] + window[last])], names=["id", "first", "last"])
 
-    wanted = sort.groupBy(F.col("e.id").alias("id")).agg(F.collect_list(F.struct("a", "g", F.col("e.s").alias("s"), "n")).alias("x"))
-    bytes_ = docs.select("id", "b").join(wanted, "id").select("id", "x", "b").mapInArrow(cut, "a long, g long, id long, s int, n short, t binary")
+    def cuts(of: DataFrame) -> DataFrame:
+        """Documents with the segments they hold: id, x, b."""
+        wanted = of.groupBy(F.col("e.id").alias("id")).agg(F.collect_list(F.struct("a", "g", F.col("e.s").alias("s"), "n")).alias("x"))
+        return docs.select("id", "b").join(wanted, "id").select("id", "x", "b")
+
+    bytes_ = cuts(sort).mapInArrow(cut, "a long, g long, id long, s int, n short, t binary")
     # Written, so that the shuffled texts and segments can go before the next step.
     sorted_ = written(bytes_.repartition(shards, "a").mapInArrow(arrange, "id long, first long, last long"))
     copies = found.join(classes.select("a", "g", "e"), ["a", "g"]).where((F.col("id") != F.col("e.id")) | (F.col("s") != F.col("e.s"))).select("id", F.col("s").cast("long").alias("first"), (F.col("s").cast("long") + F.col("n") - 1).alias("last"))
+    parts = [found, classes, sorted_]
+    if hot:
+        every = written(spread_windows(cuts(classes.join(several.where(large), "a", "left_semi")), width))
+        first = every.groupBy("a", "h").agg(F.min(F.struct("id", "p")).alias("e"), F.count("*").alias("k")).where("k > 1").select("a", "h", "e")
+        later = every.join(first, ["a", "h"]).where((F.col("id") != F.col("e.id")) | (F.col("p") != F.col("e.p")))
+        copies = copies.unionByName(later.select("id", F.col("p").alias("first"), F.col("p").alias("last")))
+        parts.append(every)
     runs = written(sorted_.unionByName(copies).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs")))
-    for table in (found, classes, sorted_):
+    for table in parts:
         dropped(table)
     return runs
 

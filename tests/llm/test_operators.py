@@ -199,6 +199,26 @@ def test_suffix_repeats(documents, texts):
     assert want[311][1] == want[311][0] and want[504][1] == 499 and want[400][1] == 0 and want[401][1] > 100
 
 
+def test_suffix_repeats_around_a_frequent_line(spark, prose, monkeypatch):
+    """Very many different segments of one anchor aren't held by one task."""
+    monkeypatch.setattr(suffix_dedup, "SHARD", 4096)
+    line = "Permission is hereby granted to any person obtaining a copy of this."
+    texts = {k: f"{prose.text(30)} {prose.rng.choice(['', 'a notice: ', 'the terms of use say so: '])}{line}{prose.rng.choice(['', ' No more.', ' All rights reserved by us.'])} {prose.text(30)}" for k in range(400)}
+    texts |= {400 + k: texts[k] for k in range(20)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    most, deal = [], type(docs).repartition
+
+    def watched(df, *args):
+        if {"a", "t"} <= set(df.columns):
+            most.append(df.groupBy("a").agg(F.sum(F.length("t")).alias("n")).agg(F.max("n")).first()[0] or 0)
+        return deal(df, *args)
+
+    monkeypatch.setattr(type(docs), "repartition", watched)
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.digests(suffix_dedup.remove_repeats(docs)).collect()}
+    assert got == brute_repeats(texts, 100) and sum(1 for r in got.values() if r[1]) > 100
+    assert len(most) == 1 and most[0] <= 2 * 4096
+
+
 def test_suffix_repeats_of_one_letter(documents):
     r = suffix_dedup.digests(suffix_dedup.remove_repeats(documents.where("doc_id = 508"))).first()
     assert (r.n_bytes, r.n_removed, r.n_spans) == (1_200_000, 1_200_000 - 1, 1)
