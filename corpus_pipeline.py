@@ -24,8 +24,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest id."""
-    kept = minhash.near_duplicates(docs.select("doc_id", "text")).where("kept").select("doc_id")
+    """One document of each group of near copies (Jaccard similarity of 0.8 or more) stays, the one with the smallest id."""
+    kept = minhash.near_duplicates(docs.select("doc_id", "text"), percent=80).where("kept").select("doc_id")
     return docs.select(*COLUMNS).join(kept, "doc_id", "left_semi")
 
 

@@ -91,6 +91,16 @@ def test_pipeline(spark, prose, tmp_path):
     assert whole == {k: r.ids for k, r in last.items()}
 
 
+def test_near_duplicates_from_80_percent(spark, prose):
+    words = prose.words(100)
+    near = [*words[:30], "other", *words[31:70], "other", *words[71:]]
+    rows = [(1, " ".join(words)), (2, " ".join(near)), (3, prose.text(100))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    a, b = ({tuple(w[k : k + 5]) for k in range(96)} for w in (words, near))
+    assert 0.8 <= len(a & b) / len(a | b) < 0.85
+    assert {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()} == {1, 3}
+
+
 def test_names():
     names = __spark_entry__.queries()
     assert "pipeline" in names and all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
