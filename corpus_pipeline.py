@@ -24,9 +24,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (Jaccard similarity of 0.8 or more) stays, the one with the smallest id."""
+    """One document of each group of near copies (Jaccard similarity of 0.8 or more) stays, the one with the smallest id; so do all without an id."""
     kept = minhash.near_duplicates(docs.select("doc_id", "text"), percent=80).where("kept").select("doc_id")
-    return docs.select(*COLUMNS).join(kept, "doc_id", "left_semi")
+    docs = docs.select(*COLUMNS)
+    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

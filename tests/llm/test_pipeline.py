@@ -101,6 +101,13 @@ def test_near_duplicates_from_80_percent(spark, prose):
     assert {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()} == {1, 3}
 
 
+def test_near_duplicates_without_an_id(spark, prose):
+    text = prose.text(100)
+    docs = spark.createDataFrame([(i, text, "en", "s", len(text)) for i in (1, 2, None, None)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
+    assert sorted(got, key=str) == [1, None, None]
+
+
 def test_names():
     names = __spark_entry__.queries()
     assert "pipeline" in names and all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
