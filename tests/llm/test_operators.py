@@ -289,6 +289,91 @@ def test_leaks_with_other_names_first(spark, prose):
     assert set(got) == {1, 2, 3, 4} and not got[1].exact
 
 
+PROBES = [
+    ("Alice has 5 apples and 3 pears. Alice gives 2 apples to Bob and buys 4 plums.", "Carol has 7 apples and 9 pears. Carol gives 6 apples to Dave and buys 8 plums."),
+    ("Add the numbers 12, 45, 7, 89, 23, 56, 31, 90, 14 and 68 and divide the whole sum by the smallest of them.", "Add the numbers 3, 8, 77, 19, 4, 5, 66, 2, 41 and 9 and divide the whole sum by the smallest of them."),
+    ("What is the capital of France", "what is the capital of france"),
+    ("A train with five coaches and forty seats in each leaves in two hours for the town by the sea.", "A train with seven coaches and thirty seats in each leaves in three hours for the town by the sea."),
+    ("In the old town of New York a man sells 3 red hats to every woman who walks by his door at night.", "In the old town of Rome a man sells 12 red hats to every woman who walks by his door at night."),
+]
+
+
+def test_leaks_of_reparameterised_questions(spark, prose):
+    """Names at sentence begins, lists of numbers, short items, number words, names of several words; with clashing columns."""
+    docs = [(k, f"{prose.text(20)} {new} {prose.text(20)}", "x", 1) for k, (_, new) in enumerate(PROBES)]
+    clean = [(100, "Alice has 5 apples and 3 pears but what is the best of them? Add the rest and go.", "x", 1), (101, "What is the capital of Spain", "x", 1), (102, prose.text(80), "x", 1), (103, None, "x", 1), (104, "", "x", 1), (None, PROBES[0][0], "x", 1)]
+    rows = spark.createDataFrame(docs + clean + docs[:1], "doc_id long, text string, item string, h long")
+    items = spark.createDataFrame([(k, old, "y", 2) for k, (old, _) in enumerate(PROBES)] + [(50, "of them", "y", 2), (51, None, "y", 2)], "item_id long, text string, doc string, place long")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.matches(rows, items).select("doc_id", "item_id").collect()}
+    assert got == {(k, k) for k in range(len(PROBES))}
+
+
+def brute_leaks(docs, items, size=8, least=6, shortest=4):
+    """All windows of all documents with all of all items, in plain Python."""
+    import regex
+
+    def sequences(text):
+        words = [(m.start(), m.group()) for m in regex.finditer(r"[\p{L}\p{N}]+", regex.sub(r"(?<=[0-9])[.,](?=[0-9])", "", text or ""))]
+        flat = regex.sub(r"(?<=[0-9])[.,](?=[0-9])", "", text or "")
+        plain = [(w.lower(),) for _, w in words]
+        typed, end = [], None
+        for at, w in words:
+            blank = end is not None and not flat[end:at].strip()
+            end = at + len(w)
+            if w[0] in "0123456789" or w in decontaminate.NUMBERS or (w[0].lower() + w[1:]) in decontaminate.NUMBERS:
+                x = ("#", w.lower())
+            elif len(w) > 1 and w[0].isupper() and w[1].islower():
+                x = ("N", w.lower())
+            elif w.lower() in decontaminate.UNITS and typed and typed[-1][-1][0] == "#":
+                x = ("u", w.lower())
+            else:
+                x = w.lower()
+            if isinstance(x, str):
+                typed.append((x,))
+            elif x[0] == "N" and blank and typed and typed[-1][-1][0] == "N" and not isinstance(typed[-1][-1], str):
+                typed[-1] = (*typed[-1][:-1], ("N", typed[-1][-1][1] + "_" + x[1]))
+            elif typed and not isinstance(typed[-1][-1], str):
+                typed[-1] = (*typed[-1], x)
+            else:
+                typed.append((x,))
+        return plain, typed
+
+    def shape(token):
+        return tuple(x if isinstance(x, str) else x[0] for x in token)
+
+    out = set()
+    for d, text in docs:
+        for i, item in items:
+            for kind, (a, b) in enumerate(zip(sequences(text), sequences(item), strict=True)):
+                own = min(size, len(b))
+                if len(b) < (size if kind else shortest):
+                    continue
+                for offset in range(-len(b), len(a)):
+                    hits = [p for p in range(len(b) - own + 1) if 0 <= p + offset <= len(a) - own and all(shape(b[p + k]) == shape(a[p + offset + k]) for k in range(own))]
+                    pairs = {(x, y) for p in hits for k in range(own) for x, y in zip(b[p + k], a[p + offset + k], strict=True) if not isinstance(x, str)}
+                    names, values = {p for p in pairs if p[0][0] == "N"}, {p for p in pairs if p[0][0] != "N"}
+                    one = lambda s, j: len(s) == len({p[j] for p in s})
+                    if len(hits) >= min(least, len(b) - own + 1) and hits and one(names, 0) and one(names, 1) and (one(values, 0) or one(values, 1)):
+                        out.add((d, i, offset))
+    return out
+
+
+def test_leaks_against_all_windows(spark, prose):
+    rng = random.Random(8)
+    names, few = ["Tom", "Eva", "Max Born", "Rome", "New York"], ["has", "the", "red", "of", "and", "to", "2", "17", "five", "km", "3,500", "house", "goes"]
+    items = [(k, " ".join(rng.choice(names if rng.random() < 0.2 else few) + rng.choice(["", "", "", ".", ","]) for _ in range(rng.randint(3, 24)))) for k in range(25)]
+    items += [(100 + k, old) for k, (old, _) in enumerate(PROBES)]
+    docs = []
+    for k in range(60):
+        words = rng.choice(items)[1].split()
+        for _ in range(rng.randint(0, 4)):
+            words[rng.randrange(len(words))] = rng.choice(names + few)
+        docs.append((k, f"{prose.text(5)} {' '.join(words)} {prose.text(5)}"))
+    docs += [(1000 + k, new) for k, (_, new) in enumerate(PROBES)]
+    got = {(r.doc_id, r.item_id, r.offset) for r in decontaminate.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == brute_leaks(docs, items) and len(got) > 30
+
+
 def test_leaks_without_anchors(spark, prose, monkeypatch):
     """Beyond the limits the join shuffles and documents make all their windows; the result is the same."""
     item = prose.text(30)
