@@ -60,6 +60,17 @@ def dropped(df: DataFrame) -> None:
         where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def matched(rows: DataFrame, keys: DataFrame, on: list[str], weight: str, how: str = "inner") -> DataFrame:
+    """rows joined with keys, which has each key once and, as weight, about how many rows it has; the weight goes.
+
+    Keys with more than a thousandth of the whole weight, fewer than 1,000 therefore, are broadcast, so that no task
+    gets all rows of one; the others are joined as usual. rows is read twice.
+    """
+    heavy = F.col(weight) > (keys.agg(F.sum(weight)).first()[0] or 0) / 1000
+    hot, cold = F.broadcast(keys.where(heavy).drop(weight)), keys.where(~heavy).drop(weight)
+    return rows.join(hot, on, how).unionByName(rows.join(F.broadcast(keys.where(heavy).select(*on)), on, "left_anti").join(cold, on, how))
+
+
 def small_batches(spark: SparkSession, rows: int = 128) -> None:
     """Arrow batches of whole texts: a bounded number of rows, so that a batch of long texts fits a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -5,15 +5,18 @@ equal windows have equal anchors, so windows are dealt by anchor, as segments: t
 of consecutive windows of one document that share an anchor. Anchors that occur once
 are dropped first (a count over all documents), and equal segments are one class with
 its earliest place; what is left is dealt over shards, and each shard's segments are
-suffix-sorted by external induction (see induced.py), with common prefixes. Neighbours
-in that order with a common prefix of `width` are equal windows; the earliest stays.
-Later members of a class repeat the first in all their windows. An anchor with more
-different segments than a shard may hold is split exactly: its windows are dealt by a
-64-bit hash of their bytes instead, and of equal ones the earliest stays.
+suffix-sorted by external recursive induction (see induced.py), with common prefixes.
+Neighbours in that order with a common prefix of `width` are equal windows; the earliest
+stays. Later members of a class repeat the first in all their windows. An anchor with more
+different segments than a shard should hold is split exactly: its windows are dealt by a
+64-bit hash of their bytes instead, and of equal ones the earliest stays. Anchors and
+classes with very many rows don't meet in one task of a join: the few that have more than
+a thousandth of all rows are broadcast.
 """
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,15 +25,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loglake.llm import common
-from loglake.llm.common import dropped, written
-from loglake.llm.induced import suffix_order
+from loglake.llm.common import dropped, matched, written
+from loglake.llm.induced import suffixes, table
 from loglake.llm.minhash import BACK, BYTE, STEP, _mixed, _powers
 
 GRAM = 24
 #: Bytes of a text handled at once; bytes of segments that a shard is meant to hold; those of one anchor are at most SPLIT times that.
 BLOCK = 1 << 19
-SHARD = 1 << 20
+SHARD = 1 << 22
 SPLIT = 2
+#: Shards at the most: beyond, they grow, and are sorted on disk.
+SHARDS = 20_000
+#: Symbols that the sort of a shard keeps in memory.
+HELD = 1 << 23
+#: Parts that the rows of a very frequent anchor are dealt over.
+SALTS = 64
 POSITION = np.uint64(20)
 UP, DOWN = _powers(STEP, BLOCK + 1024), _powers(BACK, BLOCK + 1024)
 
@@ -112,87 +121,133 @@ def spread_windows(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("id", "x", "b").mapInArrow(run, "a long, h long, id long, p long")
 
 
-def repeated_windows(texts: list[bytes], ids: np.ndarray, starts: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(segment, window): windows of a shard's segments that also start earlier in one of them, by suffix sorting."""
-    lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1
-    symbols = np.frombuffer(b"\0".join(texts) + b"\0", dtype=np.uint8).astype(np.uint16) + 2
-    ends = np.cumsum(lengths) - 1
-    symbols[ends] = 1
-    symbols = np.append(symbols, 0).astype(np.uint16)
-    order, shared = suffix_order(symbols, width)
-    group = np.cumsum(shared < width, dtype=np.int32)
-    segment = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
-    inner = order < len(segment)
-    order, group = order[inner], group[inner]
-    segment = segment[order]
-    window = order - (ends - lengths + 1)[segment]
-    good = window < counts[segment]
-    group, segment, window = group[good], segment[good], window[good]
-    several = np.zeros(len(group), dtype=bool)
-    same = group[1:] == group[:-1]
-    several[1:] |= same
-    several[:-1] |= same
-    group, segment, window = group[several], segment[several], window[several]
-    by = np.lexsort((starts[segment] + window, ids[segment], group))
-    group, segment, window = group[by], segment[by], window[by]
-    later = np.append(False, group[1:] == group[:-1])[: len(group)]
-    return segment[later], window[later]
+def _text(batches: Iterator[pa.RecordBatch], held: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols of a shard's segments, each closed by a 1 and all by a 0, in a file if they are many; and of each segment
+    its begin in them, document, first window and number of windows."""
+    parts, file, size, facts = [], None, 0, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        texts = batch.column(batch.num_columns - 1).to_pylist()
+        ends = size + np.cumsum(np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1)
+        symbols = np.frombuffer(b"\0".join(texts) + b"\0", dtype=np.uint8).astype(np.uint16) + np.uint16(2)
+        symbols[ends - 1 - size] = 1
+        facts.append((np.append(size, ends[:-1]), *(batch.column(k).to_numpy().astype(np.int64) for k in range(batch.num_columns - 1))))
+        size += len(symbols)
+        parts.append(symbols)
+        if size > held:
+            file = file or tempfile.TemporaryFile()
+            file.write(b"".join(p.tobytes() for p in parts))
+            parts = []
+    if file is None:
+        text = np.concatenate([*parts, np.zeros(1, np.uint16)])
+    else:
+        file.write(b"".join(p.tobytes() for p in parts) + b"\0\0")
+        file.flush()
+        text = np.memmap(file, dtype=np.uint16, mode="r", shape=(size + 1,))
+    return text, *(np.concatenate([f[k] for f in facts]) if facts else np.empty(0, np.int64) for k in range(4))
+
+
+def repeated_windows(batches: Iterator[pa.RecordBatch], width: int, held: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(id, first, last) of the runs of windows that also start earlier in one of a shard's segments (id, s, n, t)."""
+    held = held or HELD
+    text, begins, ids, starts, counts = _text(batches, held)
+    if not len(begins):
+        return
+    segment_of = table(len(text), np.int32, held)
+    for k, (a, b) in enumerate(zip(begins, np.append(begins[1:], len(text)), strict=True)):
+        segment_of[a:b] = k
+    again = table(len(text), np.bool_, held)
+    group, open_ = 0, [np.empty(0, np.int64)] * 2
+
+    def settle_groups(groups: np.ndarray, places: np.ndarray) -> None:
+        """Mark all windows of complete groups but those at the earliest place."""
+        several = np.zeros(len(groups), dtype=bool)
+        same = groups[1:] == groups[:-1]
+        several[1:] |= same
+        several[:-1] |= same
+        groups, places = groups[several], places[several]
+        owner = segment_of[places]
+        doc, at = ids[owner], starts[owner] + places - begins[owner]
+        by = np.lexsort((at, doc, groups))
+        groups, places, doc, at = groups[by], places[by], doc[by], at[by]
+        first = np.append(True, groups[1:] != groups[:-1])[: len(groups)]
+        lead = np.flatnonzero(first)[np.cumsum(first) - 1]
+        # Rows that are given twice have the same place.
+        again[places[(doc != doc[lead]) | (at != at[lead])]] = True
+
+    for order, shared in suffixes(text, width, held):
+        groups = group + np.cumsum(shared < width)
+        group = int(groups[-1])
+        inner = order < len(text) - 1
+        order, groups = order[inner], groups[inner]
+        owner = segment_of[order]
+        good = order - begins[owner] < counts[owner]
+        groups, places = np.append(open_[0], groups[good]), np.append(open_[1], order[good])
+        done = int(np.searchsorted(groups, group))
+        settle_groups(groups[:done], places[:done])
+        open_ = [groups[done:], places[done:]]
+    settle_groups(*open_)
+    for a in range(0, len(text), BLOCK):
+        places = a + np.flatnonzero(again[a : a + BLOCK])
+        if len(places):
+            new = np.flatnonzero(np.append(True, places[1:] != places[:-1] + 1))
+            first, last = places[new], places[np.append(new[1:], len(places)) - 1]
+            owner = segment_of[first]
+            yield ids[owner], starts[owner] + first - begins[owner], starts[owner] + last - begins[owner]
 
 
 def repeats(docs: DataFrame, width: int = 100) -> DataFrame:
     """(id, runs): for each document with windows that also start earlier, runs of such windows (first, last).
 
-    docs: id long, b binary.
+    docs: id long, b binary. Rows with one id have one text; a row that is given twice is one document.
     """
     spark = docs.sparkSession
     common.small_batches(spark)
     docs = docs.where("id is not null and b is not null")
-    often = anchor_counts(docs, width).groupBy("a").agg(F.sum("k").alias("k")).where("k > 1").select("a")
-    found = written(all_segments(docs, width).join(often, "a", "left_semi"))
-    classes = written(found.groupBy("a", "g").agg(F.min(F.struct("id", "s")).alias("e"), F.max("n").alias("n")))
-    several = classes.groupBy("a").agg(F.count("*").alias("k"), F.sum(F.col("n") + F.lit(width)).alias("size")).where("k > 1")
+    often = written(anchor_counts(docs, width).groupBy("a").agg(F.sum("k").alias("k")).where("k > 1"))
+    least = (often.agg(F.sum("k")).first()[0] or 0) / 1000
+    # Rows of an anchor that very many segments have are dealt over several tasks.
+    salted = often.select("a", F.explode(F.when(F.col("k") > least, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt"))
+    frequent = F.broadcast(often.where(F.col("k") > least).select("a", F.lit(SALTS).alias("salts")))
+    found = all_segments(docs, width).join(frequent, "a", "left").withColumn("salt", F.pmod("g", F.coalesce("salts", F.lit(1))).cast("int"))
+    found = written(found.join(salted, ["a", "salt"], "left_semi").select("id", "a", "s", "n", "g"))
+    classes = written(found.groupBy("a", "g").agg(F.min(F.struct("id", "s")).alias("e"), F.max("n").alias("n"), F.count("*").alias("k")))
+    several = written(classes.groupBy("a").agg(F.count("*").alias("k"), F.sum(F.col("n") + F.lit(width)).alias("size")).where("k > 1"))
     large = F.col("size") > SPLIT * SHARD
-    sort = classes.join(several.where(~large), "a", "left_semi")
     total, hot = several.agg(F.sum(F.when(~large, F.col("size"))), F.count_if(large)).first()
-    shards = max(spark.sparkContext.defaultParallelism, -(-(total or 0) // SHARD))
+    shards = min(SHARDS, max(2 * spark.sparkContext.defaultParallelism, -(-(total or 0) // SHARD)))
+    only = classes.drop("k")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, wanted, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                yield pa.RecordBatch.from_pylist([{"a": x["a"], "g": x["g"], "id": i, "s": x["s"], "n": x["n"], "t": data[x["s"] : x["s"] + x["n"] + width - 1]} for x in wanted], schema=pa.schema([("a", pa.int64()), ("g", pa.int64()), ("id", pa.int64()), ("s", pa.int32()), ("n", pa.int16()), ("t", pa.binary())]))
+                yield pa.RecordBatch.from_pylist([{"a": x["a"], "id": i, "s": x["s"], "n": x["n"], "t": data[x["s"] : x["s"] + x["n"] + width - 1]} for x in wanted], schema=pa.schema([("a", pa.int64()), ("id", pa.int64()), ("s", pa.int32()), ("n", pa.int16()), ("t", pa.binary())]))
 
     def arrange(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = pa.Table.from_batches(list(batches), schema=pa.schema([("a", pa.int64()), ("g", pa.int64()), ("id", pa.int64()), ("s", pa.int32()), ("n", pa.int16()), ("t", pa.binary())]))
-        if not whole.num_rows:
-            return
-        a, g, ids, s, n = (whole.column(k).to_numpy().astype(np.int64) for k in range(5))
-        segment, window = repeated_windows(whole.column(5).to_pylist(), ids, s, n, width)
-        by = np.lexsort((window, segment))
-        segment, window = segment[by], window[by]
-        first = np.flatnonzero(np.append(True, (segment[1:] != segment[:-1]) | (window[1:] != window[:-1] + 1))[: len(segment)])
-        last = np.append(first[1:], len(segment)) - 1 if len(first) else first
-        at = segment[first]
-        yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(s[at] + window[first]), pa.array(s[at] + window[last])], names=["id", "first", "last"])
+        for ids, first, last in repeated_windows(batches, width):
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(first), pa.array(last)], names=["id", "first", "last"])
 
     def cuts(of: DataFrame) -> DataFrame:
         """Documents with the segments they hold: id, x, b."""
         wanted = of.groupBy(F.col("e.id").alias("id")).agg(F.collect_list(F.struct("a", "g", F.col("e.s").alias("s"), "n")).alias("x"))
         return docs.select("id", "b").join(wanted, "id").select("id", "x", "b")
 
-    bytes_ = cuts(sort).mapInArrow(cut, "a long, g long, id long, s int, n short, t binary")
+    bytes_ = cuts(matched(only, several.where(~large).select("a", "k"), ["a"], "k", "left_semi")).mapInArrow(cut, "a long, id long, s int, n short, t binary")
     # Written, so that the shuffled texts and segments can go before the next step.
-    sorted_ = written(bytes_.repartition(shards, "a").mapInArrow(arrange, "id long, first long, last long"))
-    copies = found.join(classes.select("a", "g", "e"), ["a", "g"]).where((F.col("id") != F.col("e.id")) | (F.col("s") != F.col("e.s"))).select("id", F.col("s").cast("long").alias("first"), (F.col("s").cast("long") + F.col("n") - 1).alias("last"))
-    parts = [found, classes, sorted_]
+    sorted_ = written(bytes_.repartition(shards, "a").select("id", "s", "n", "t").mapInArrow(arrange, "id long, first long, last long"))
+    copies = matched(found, classes.select("a", "g", "e", "k").where("k > 1"), ["a", "g"], "k").where((F.col("id") != F.col("e.id")) | (F.col("s") != F.col("e.s")))
+    copies = copies.select("id", F.col("s").cast("long").alias("first"), (F.col("s").cast("long") + F.col("n") - 1).alias("last"))
+    parts = [often, found, classes, several, sorted_]
     if hot:
-        every = written(spread_windows(cuts(classes.join(several.where(large), "a", "left_semi")), width))
-        first = every.groupBy("a", "h").agg(F.min(F.struct("id", "p")).alias("e"), F.count("*").alias("k")).where("k > 1").select("a", "h", "e")
-        later = every.join(first, ["a", "h"]).where((F.col("id") != F.col("e.id")) | (F.col("p") != F.col("e.p")))
+        every = written(spread_windows(cuts(matched(only, several.where(large).select("a", "k"), ["a"], "k", "left_semi")), width))
+        first = written(every.groupBy("a", "h").agg(F.min(F.struct("id", "p")).alias("e"), F.count("*").alias("k")).where("k > 1"))
+        later = matched(every, first, ["a", "h"], "k").where((F.col("id") != F.col("e.id")) | (F.col("p") != F.col("e.p")))
         copies = copies.unionByName(later.select("id", F.col("p").alias("first"), F.col("p").alias("last")))
-        parts.append(every)
+        parts += [every, first]
     runs = written(sorted_.unionByName(copies).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs")))
-    for table in parts:
-        dropped(table)
+    for part in parts:
+        dropped(part)
     return runs
 
 
@@ -223,14 +278,23 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", wid
     Removed is each byte of a text's UTF-8 form that a string of `width` bytes covers which also starts earlier: in a
     row with a smaller key or at an earlier start of the same one. Strings are judged on the input, overlaps count,
     matches never cross rows. characters: spans are narrowed so that kept stays valid UTF-8. Null and empty texts and
-    texts shorter than width keep what they have; a null key is neither cleaned nor a source. Keys are unique: rows
-    that share one are taken for the same document.
+    texts shorter than width keep what they have; a null key is neither cleaned nor a source. Rows that are given
+    twice are one document: neither takes from the other. Of rows with one key and different texts, the text with
+    the least hash is the key's; the others are neither cleaned nor a source. Empty tables give no rows.
     """
     data = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("b"))
+    own = written(data.select("id", F.xxhash64("b").alias("d")).groupBy("id").agg(F.min("d").alias("own"), F.max("d").alias("most")).where("id is not null and own <> most").select("id", "own"))
+    clash = not own.isEmpty()
+    if clash:
+        data = data.join(own, "id", "left").where("own is null or own = xxhash64(b)").select("id", "b")
     found = repeats(data, width)
     kept = [c for c in docs.columns if c not in ("spans", "kept")]
     plain = docs.select(F.col(key).cast("long").alias("__id"), *[docs[c] for c in kept], F.coalesce(F.col(text), F.lit("")).cast("binary").alias("__b"))
-    joined = plain.join(found.withColumnRenamed("id", "__id"), "__id", "left").select(*kept, "runs", "__b")
+    joined = plain.join(found.withColumnRenamed("id", "__id"), "__id", "left")
+    if clash:
+        mine = F.coalesce(F.col("__own") == F.xxhash64("__b"), F.lit(True))
+        joined = joined.join(own.select(F.col("id").alias("__id"), F.col("own").alias("__own")), "__id", "left").withColumn("runs", F.when(mine, F.col("runs")))
+    joined = joined.select(*kept, "runs", "__b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -230,17 +230,17 @@ def test_suffix_repeats_on_characters(documents):
     assert suffix_dedup.remove_repeats(documents.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("block, held", [(1 << 16, 1 << 22), (7, 20)])
-def test_induced_sorting(block, held, monkeypatch):
-    """Order and common prefixes, with queues in memory and on disk."""
+@pytest.mark.parametrize("block, counted, held", [(1 << 16, 1 << 16, 1 << 22), (7, 8, 20), (64, 1 << 16, 100)])
+def test_induced_sorting(block, counted, held, monkeypatch):
+    """Order and common prefixes, in memory and with queues, tapes, texts and several levels of names on disk."""
     monkeypatch.setattr(induced, "BLOCK", block)
-    monkeypatch.setattr(induced.Spool.__init__, "__defaults__", (held,))
+    monkeypatch.setattr(induced, "COUNTED", counted)
     rng = np.random.default_rng(block)
     for it in range(120):
-        n, k, cap = int(rng.integers(1, 120)), int(rng.integers(1, 5)), int(rng.choice([3, 10, 100]))
+        n, k, cap = int(rng.integers(1, 160)), int(rng.choice([1, 2, 3, 4, 400])), int(rng.choice([3, 10, 100]))
         base = rng.integers(1, 1 + k, n)
         t = np.append(np.tile(base[: max(1, n // 4)], 5) if it % 3 == 0 else base, 0).astype(np.uint16)
-        order, shared = induced.suffix_order(t, cap)
+        order, shared = induced.suffix_order(t, cap, held)
         symbols = t.tolist()
         suffixes = [symbols[i : i + cap] for i in order]
         assert sorted(order.tolist()) == list(range(len(t))) and suffixes == sorted(suffixes)
@@ -248,6 +248,32 @@ def test_induced_sorting(block, held, monkeypatch):
         assert shared.tolist() == common_
 
 
+def test_induced_sorting_beyond_memory(prose, monkeypatch):
+    """A text twenty times as long as what may be held is sorted in a fraction of the memory of one that is held."""
+    import tracemalloc
+
+    monkeypatch.setattr(induced, "BLOCK", 4096)
+    text = np.append(np.frombuffer(" ".join(prose.text(2000) for _ in range(40)).encode()[:400_000], np.uint8).astype(np.uint16) + 2, 0).astype(np.uint16)
+    peaks, shared = [], []
+    for held in (1 << 22, len(text) // 20):
+        tracemalloc.start()
+        shared.append(hash(b"".join(c.astype(np.uint8).tobytes() for _, c in induced.suffixes(text, 100, held))))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert shared[0] == shared[1] and peaks[1] < peaks[0] / 4
+
+
+def test_suffix_repeats_of_repeated_rows(spark, prose):
+    """A row given twice is one document; of a key's different texts the others are left alone; null keys; clashing columns."""
+    t = prose.text(80)[:400]
+    rows = [(1, t, 7, b"k"), (1, t, 8, b"k"), (2, "x" + t, 9, b"k"), (None, t, 1, b"k"), (3, t[:150] + "!", 1, b"k"), (3, "?" + t[:250], 1, b"k"), (4, None, 1, b"k"), (5, "", 1, b"k"), (6, t[:99], 1, b"k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, spans long, kept binary")
+    got = suffix_dedup.remove_repeats(docs).select("doc_id", F.col("kept").cast("string").alias("kept"), F.size("spans").alias("n")).collect()
+    by = lambda k: sorted(r.kept for r in got if r.doc_id == k)
+    assert by(1) == [t, t] and by(2) == ["x"] and by(None) == [t] and by(4) == by(5) == [""] and by(6) == [t[:99]]
+    assert len(got) == len(rows) and by(3) in ([sorted(["!", "?" + t[:250]]), sorted([t[:150] + "!", "?"])])
+
+
 # 5
 
 
