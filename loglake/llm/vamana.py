@@ -5,7 +5,9 @@ greedy searches from a central start propose neighbours, and relaxed distance pr
 (an edge goes if a kept neighbour is closer to the target by the factor alpha) keeps
 diverse ones; reverse edges are added and pruned likewise. Every query is answered by
 beam search in every shard, many queries at once in numpy, and the best of all shards
-are merged.
+are merged. A task holds the graph of its shard, which is made once and never copied, and
+the queries stream past it. Shards grow with the table, so the number of searches of a
+query doesn't, until shards are as large as a task's memory allows.
 
 Equal vectors are one point of the graph that knows its smallest ids: as many as can
 ever be in an answer.
@@ -13,16 +15,19 @@ ever be in an answer.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loglake.llm.common import settle, written
+from loglake.llm import common
+from loglake.llm.common import settle
 
-#: Points of a shard: bounds a task's memory.
-SHARD = 4_000
-#: Queries that a search task takes at once.
+#: Points of a shard, at least and at most: the latter bounds a task's memory. Shards that a table has before they grow beyond the least.
+SMALLEST, LARGEST, SHARDS = 4_000, 100_000, 32
+#: Points or queries that are searched for at once.
 BLOCK = 512
 
 
@@ -113,13 +118,14 @@ def build(x: np.ndarray, degree: int = 32, beam: int = 64, alpha: float = 1.2, s
         by = np.argsort(dst, kind="stable")
         src, dst = src[by], dst[by]
         targets, first, count = np.unique(dst, return_index=True, return_counts=True)
-        wide = int(count.max()) if len(count) else 0
-        if wide:
-            back = np.full((len(targets), wide), -1)
-            back[np.repeat(np.arange(len(targets)), count), np.arange(len(dst)) - np.repeat(first, count)] = src
-            for b in range(0, len(targets), BLOCK):
-                t = targets[b : b + BLOCK]
-                graph[t] = robust_prune(x, t, np.concatenate([graph[t], back[b : b + BLOCK]], axis=1), degree, alpha)
+        # By how many point back, so that a block of few isn't as wide as one of many.
+        by = np.argsort(count, kind="stable")
+        targets, first, count = targets[by], first[by], count[by]
+        for b in range(0, len(targets), 64):
+            t, few = targets[b : b + 64], count[b : b + 64]
+            wide = np.arange(few[-1])
+            back = np.where(wide < few[:, None], src[np.minimum(first[b : b + 64, None] + wide, len(src) - 1)], -1)
+            graph[t] = robust_prune(x, t, np.concatenate([graph[t], back], axis=1), degree, alpha)
         at += size
         size = min(size * 2, BLOCK)
     return graph, start
@@ -131,54 +137,64 @@ def usable(v: Column) -> Column:
     return F.coalesce(v.isNotNull() & (F.size(v) > 0) & ~F.exists(v, bad) & F.exists(v, lambda e: e != 0), F.lit(False))
 
 
-def nearest(vectors: DataFrame, k: int = 10, key: str = "vec_id", vector: str = "embedding", one_in: int = 100, degree: int = 32, beam: int = 64, alpha: float = 1.2, shard: int = SHARD) -> DataFrame:
+def search(x: np.ndarray, graph: np.ndarray, start: np.ndarray, ids: list, queries: pd.DataFrame, k: int, beam: int) -> list[tuple[int, int, float]]:
+    """(query, id, distance) of the k nearest that a shard has for each query (id, v)."""
+    out = []
+    for b in range(0, len(queries), BLOCK):
+        some = queries.iloc[b : b + BLOCK]
+        found, d = beam_search(x, graph, start, np.stack(some["v"].to_list()), max(beam, 2 * k))
+        for r, query in enumerate(some["id"]):
+            got = [(float(np.sqrt(e)), int(i)) for p, e in zip(found[r], d[r], strict=True) if p >= 0 for i in ids[p] if i != query]
+            out += [(int(query), i, e) for e, i in sorted(got)[:k]]
+    return out
+
+
+def nearest(vectors: DataFrame, k: int = 10, key: str = "vec_id", vector: str = "embedding", one_in: int = 100, degree: int = 32, beam: int = 64, alpha: float = 1.2, shards: int | None = None) -> DataFrame:
     """(query_id, rank, key, score): for each row whose key is divisible by one_in, its k nearest other rows.
 
     Nearness is the Euclidean distance on the vectors as doubles; ties go to the smaller key. Null, empty, zero and
     non-finite vectors and null keys take no part; vectors only meet those of their length. Repeated rows count once;
-    a key with several vectors asks with the smallest and can be found by each. Equal vectors are one point with its k + 1 smallest keys: no other can be in an answer.
+    a key with several vectors asks with the smallest and can be found by each. Equal vectors are one point with its
+    k + 1 smallest keys: no other can be in an answer. Empty tables give no rows. Other columns aren't looked at, so
+    they may have any names.
     """
+    spark = vectors.sparkSession
     whole = vectors.where(usable(F.col(vector)) & F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.transform(vector, lambda e: e.cast("double") + F.lit(0.0)).alias("v"))
     # row_number up to a bound is pre-aggregated before the shuffle, so a vector with very many copies moves few rows.
     first = Window.partitionBy("v").orderBy("id")
     points = whole.withColumn("r", F.row_number().over(first)).where(F.col("r") <= k + 1).groupBy("v").agg(F.sort_array(F.collect_set("id")).alias("ids"))
     points = settle(points.select("v", "ids", F.xxhash64("v").alias("h")))
     n = points.count()
-    shards = max(1, -(-n // shard))
-    dealt = points.withColumn("shard", F.pmod("h", F.lit(shards)).cast("int"))
-    queries = settle(whole.where(F.col("id") % one_in == 0).groupBy("id").agg(F.min("v").alias("v")))
-    blocks = max(1, -(-queries.count() // (4 * BLOCK)))
-    # The stated queries against all rows, in blocks: each shard meets each block.
-    asked = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-
-    def graphs(part: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, rows in part.groupby(part["v"].map(len)):
-            rows = rows.sort_values("h").reset_index(drop=True)
-            graph, start = build(np.stack(rows["v"].to_list()), degree, beam, alpha)
-            out.append(rows.assign(at=rows.index, edges=list(graph.astype(np.int32)), start=rows.index == start[0]))
-        return pd.concat(out)[["shard", "at", "v", "ids", "edges", "start"]]
-
-    def search(points: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        sizes = points["v"].map(len)
-        for size, rows in asking.groupby(asking["v"].map(len)):
-            own = points[sizes == size].sort_values("at")
-            if not len(own):
-                continue
-            x, graph, ids = np.stack(own["v"].to_list()), np.stack(own["edges"].to_list()).astype(np.int64), own["ids"].to_list()
-            start = np.flatnonzero(own["start"].to_numpy())
-            for b in range(0, len(rows), BLOCK):
-                some = rows.iloc[b : b + BLOCK]
-                found, d = beam_search(x, graph, start, np.stack(some["v"].to_list()), max(beam, 2 * k))
-                for r, query in enumerate(some["id"]):
-                    got = [(float(np.sqrt(e)), int(i)) for p, e in zip(found[r], d[r], strict=True) if p >= 0 for i in ids[p] if i != query]
-                    out += [(int(query), i, e) for e, i in sorted(got)[:k]]
-        return pd.DataFrame(out, columns=["query_id", "id", "score"]).astype({"query_id": "int64", "id": "int64", "score": "float64"})
-
-    built = written(dealt.groupBy("shard").applyInPandas(graphs, "shard int, at int, v array<double>, ids array<long>, edges array<int>, start boolean"))
-    # A task holds one shard and one block of queries, however many there are of either.
-    built = built.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    found = built.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(search, "query_id long, id long, score double")
+    shards = shards or max(1, -(-n // LARGEST), min(SHARDS, -(-n // SMALLEST)))
+    dealt = points.select(F.pmod("h", F.lit(shards)).cast("int").alias("shard"), F.lit(False).alias("asks"), "h", F.lit(None).cast("long").alias("id"), "v", "ids")
+    asking = whole.where(F.col("id") % one_in == 0).groupBy("id").agg(F.min("v").alias("v"))
+    # The stated queries against all rows, in blocks: each shard meets each query.
+    every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
+    asking = settle(asking).select(every.alias("shard"), F.lit(True).alias("asks"), F.lit(0).cast("long").alias("h"), "id", "v", F.lit(None).cast("array<long>").alias("ids"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows by shard, its points first: the graphs are built when the first query comes."""
+        shard, points, graphs = None, [], {}
+        for batch in batches:
+            for number, rows in batch.groupby("shard", sort=False):
+                if number != shard:
+                    shard, points, graphs = number, [], {}
+                own, queries = rows[~rows["asks"]], rows[rows["asks"]]
+                if len(own):
+                    points.append(own[["v", "ids"]])
+                if not len(queries):
+                    continue
+                if points:
+                    whole = pd.concat(points)
+                    for size, of_size in whole.groupby(whole["v"].map(len)):
+                        x = np.stack(of_size["v"].to_list())
+                        graphs[size] = (x, *build(x, degree, beam, alpha), of_size["ids"].to_list())
+                    points = []
+                found = [r for size, some in queries.groupby(queries["v"].map(len)) if size in graphs for r in search(*graphs[size], some, k, beam)]
+                yield pd.DataFrame(found, columns=["query_id", "id", "score"]).astype({"query_id": "int64", "id": "int64", "score": "float64"})
+
+    common.small_batches(spark, 4 * BLOCK)
+    rows = dealt.unionByName(asking).repartitionById(shards, "shard").sortWithinPartitions("shard", "asks", "h", "id")
+    found = rows.mapInPandas(run, "query_id long, id long, score double")
     best = Window.partitionBy("query_id").orderBy("score", "id")
     return found.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(key), "score")

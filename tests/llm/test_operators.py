@@ -427,7 +427,7 @@ def test_nearest(spark):
     rows = [(k, v.tolist(), 1) for k, v in enumerate(x)] + [(5000, None, 1), (5100, [0.0] * 16, 1), (5200, [float("nan")] * 16, 1), (5300, [float("inf")] + [0.0] * 15, 1), (5400, [], 1), (5500, [None] * 16, 1), (0, x[0].tolist(), 1)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     got = {}
-    for r in vamana.nearest(df, shard=500).orderBy("query_id", "rank").collect():
+    for r in vamana.nearest(df, shards=3).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.vec_id, r.score))
     assert set(got) == set(range(0, 1500, 100))
     hit = total = 0
@@ -442,6 +442,24 @@ def test_nearest(spark):
     assert [k for k, _ in got[600]] == list(range(601, 611)) and [k for k, _ in got[700]] == list(range(600, 610))
 
 
+def test_nearest_recall_at_both_sizes(spark):
+    """Clustered vectors in one shard and in several, with clashing columns; the searches of a query grow with the shards only."""
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(40, 24)) * 2
+    for n in (600, 5000):
+        x = (centres[rng.integers(0, 40, n)] + rng.normal(size=(n, 24))).astype(np.float32).astype(float)
+        df = spark.createDataFrame([(k, v.tolist(), 1, 0.5, 2) for k, v in enumerate(x)], "vec_id long, embedding array<double>, rank int, score double, query_id int")
+        got = {}
+        for r in vamana.nearest(df).collect():
+            got.setdefault(r.query_id, set()).add(r.vec_id)
+        hit = 0
+        for q, found in got.items():
+            d = ((x - x[q]) ** 2).sum(axis=1)
+            d[q] = np.inf
+            hit += len(found & set(np.argsort(d, kind="stable")[:10].tolist()))
+        assert len(got) == n // 100 and hit / (10 * len(got)) >= 0.95
+
+
 def test_nearest_of_few(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (100, [2.0, 2.0]), (7, [1.0])], "vec_id long, embedding array<double>")
     assert {(r.query_id, r.vec_id, r.score) for r in vamana.nearest(df).collect()} == {(0, 100, 1.0), (100, 0, 1.0)}
