@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loglake.llm import common
-from loglake.llm.common import settle, written
+from loglake.llm.common import dropped, settle, written
 from loglake.llm.components import components
 
 SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
@@ -32,6 +33,7 @@ SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 SMALL = 16
 
 
+@cache
 def _constants(n: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(1 << 62, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -132,13 +134,14 @@ def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select(*pairs.columns, F.size(F.array_intersect("sa", "sb")).alias("both"))
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, percent: int = 85, tensor: Tensor = Tensor()) -> DataFrame:
+def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, percent: int = 80, tensor: Tensor = Tensor()) -> DataFrame:
     """One row for each row of docs: key, n_shingles, class_id, component_id, kept.
 
     class_id: the smallest key with an equal shingle set. component_id: the smallest key that can be reached over
     links (100 * intersection >= percent * union of the shingle sets), the row's own included. Null and blank
     texts have an empty set, are linked with nothing and are kept. Rows that share a key keep a row each and
-    count as one text of that key for each distinct set.
+    count as one text of that key for each distinct set; a null key has null ids and isn't kept. Ties don't occur:
+    ids are the smallest keys. Empty tables give no rows, and other columns aren't looked at, whatever their names.
 
     A pair at exactly 85 % meets in some table with probability 1 - 2 * (1 - 0.85**3)**9 = 0.9996, at 90 % with
     0.99998, at 80 % (the pipeline's) with 0.997; equal sets always meet.
@@ -208,6 +211,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
         found = components(links.unionByName(more))
 
     whole = classes.select(*same, "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select(*same, F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id"))
+    whole = settle(whole)
+    for table in (shared, sets, members):
+        dropped(table)
     # Sums of an empty set are 0, so the join needs no case for them.
     out = all_rows.select("id", *same).join(whole, same, "left")
     return out.select(

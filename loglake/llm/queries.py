@@ -21,7 +21,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    out = minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
     return out.select("doc_id", "n_shingles", "component_id", "kept", "class_id")
 
 

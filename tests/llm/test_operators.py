@@ -82,7 +82,7 @@ def brute_components(texts):
 
 def test_near_duplicates(documents, texts):
     want, sizes = brute_components(texts)
-    got = {r.doc_id: r for r in minhash.near_duplicates(documents).collect()}
+    got = {r.doc_id: r for r in minhash.near_duplicates(documents, percent=85).collect()}
     assert {k: r.component_id for k, r in got.items()} == want
     assert {k: r.n_shingles for k, r in got.items()} == sizes
     assert all(r.kept == (r.component_id == r.doc_id) for r in got.values())
@@ -103,7 +103,7 @@ def test_near_duplicates_around_a_source(spark, prose):
         w[prose.rng.randrange(120)] = prose.words(1)[0] + "y"
         rows.append((k, " ".join(w)))
     want, _ = brute_components(dict(rows))
-    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent=85).collect()}
     assert got == want
 
 
