@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A field: blanks, then a quoted or a bare value. Possessive, so that a bad quote fails at once.
@@ -34,24 +34,30 @@ def json_value(payload: Column) -> Column:
     return F.when(F.size(items) == 1, items[0])
 
 
-def fields(value: Column) -> Column:
-    """map<string, variant> of an object, else null."""
-    return value.try_cast("map<string,variant>")
+#: A key with a capital; the parts of a JSON text: keys, other strings, all else.
+CAPITAL_KEY = r'\p{Lu}[^"]*"\s*:'
+PART = r'("(?:[^"\\]++|\\.)*+"(?:\s*+:)?|[^"]++|")'
 
 
-def field(of: Column, name: str) -> Column:
-    """A field by name, whatever its case; of several the last, null if there is none or its value is null."""
-    found = F.try_element_at(F.filter(F.map_entries(of), lambda e: F.lower(e["key"]) == name), F.lit(-1))["value"]
-    return F.when(~F.is_variant_null(found), found)
+def lower_keys(payload: Column) -> Column:
+    """JSON text with all keys in lower case, in their order: so a field is found whatever its case, and the last one counts."""
+    parts = F.regexp_extract_all(payload, F.lit(PART), F.lit(1))
+    lowered = F.array_join(F.transform(parts, lambda p: F.when(p.startswith('"') & p.endswith(":"), F.lower(p)).otherwise(p)), "")
+    return F.when(payload.rlike(CAPITAL_KEY), lowered).otherwise(payload)
 
 
-def kind(value: Column) -> Column:
-    return F.schema_of_variant(value)
+def fixed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """df with more columns, made once for each row: the optimizer copies no expression through a generator."""
+    return df.select("*", F.inline_outer(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
 
+def present(value: Column) -> Column:
+    """A variant that isn't JSON's null, else null."""
+    return F.when(~F.is_variant_null(value), value)
 
-def text_of(value: Column) -> Column:
-    """A string's value; '' for anything else."""
-    return F.coalesce(F.when(kind(value) == "STRING", value.try_cast("string")), F.lit(""))
+
+def kind(value: Column) -> Column:
+    return F.schema_of_variant(value)
 
 
 def not_text(value: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loglake.functions.records import csv_rows, json_value, same_width
+from loglake.functions.records import csv_rows, fixed, json_value, lower_keys, same_width
 from loglake.functions.text import trim
 
 # Known formats, recognised CSV headers, syslog marks.
@@ -17,11 +17,11 @@ SYSLOG_PAIR = r"(?i)(?<![0-9A-Za-z_])(?:SRC|DST|SPT|DPT|PROTO|ACTION)="
 
 def prepare(df: DataFrame) -> DataFrame:
     """Adds what detection and the parsers share, made once: __hint, __trim, __json (variant), __rows (CSV)."""
-    df = df.withColumns({"__hint": F.lower(trim(F.coalesce("format", F.lit("")))), "__trim": trim(F.coalesce("payload", F.lit("")))})
+    df = fixed(df, {"__hint": F.lower(trim(F.coalesce("format", F.lit("")))), "__trim": trim(F.coalesce("payload", F.lit("")))})
     t, open_ = F.col("__trim"), ~F.col("__hint").isin(*FORMATS)
     braces = (t.startswith("{") & t.endswith("}")) | (t.startswith("[") & t.endswith("]"))
-    df = df.withColumn("__json", F.when((F.col("__hint") == "json") | (open_ & braces), json_value(t)))
-    return df.withColumn("__rows", F.when((F.col("__hint") == "csv") | (open_ & F.col("__json").isNull() & t.contains(",")), csv_rows(t)))
+    df = fixed(df, {"__json": F.when((F.col("__hint") == "json") | (open_ & braces), json_value(lower_keys(t)))})
+    return fixed(df, {"__rows": F.when((F.col("__hint") == "csv") | (open_ & F.col("__json").isNull() & t.contains(",")), csv_rows(t))})
 
 
 def detection() -> Column:

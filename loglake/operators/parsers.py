@@ -46,6 +46,11 @@ def _source(product: str, identifier: Column) -> dict[str, Column]:
     return {"type": F.lit("firewall"), "vendor": F.lit("generic"), "product": F.lit(product), "identifier": identifier}
 
 
+def value_of(pairs: Column, name: str) -> Column:
+    """v of the last (k, v) of that name."""
+    return last_where(pairs, lambda p: p["k"] == name)["v"]
+
+
 @dataclass(frozen=True)
 class SyslogParser:
     format: str = "syslog"
@@ -56,23 +61,27 @@ class SyslogParser:
     DENY = ("DENY", "DROP", "BLOCK")
     ALLOW = ("ALLOW", "ACCEPT", "PERMIT")
     PROTOCOLS = ("TCP", "UDP", "ICMP")
+    PAIRS = ("ACTION", "PROTO", "SRC", "SPT", "DST", "DPT")
 
     def prepare(self, df: DataFrame, mine: Column) -> DataFrame:
         t = F.col("__trim")
-        df = df.withColumn("__head", F.when(mine & t.rlike(self.HEADER), F.struct(*[F.regexp_extract(t, self.HEADER, k).alias(n) for k, n in ((1, "time"), (2, "host"), (3, "body"))])))
-        df = df.withColumn("__body", F.when(mine, F.coalesce(F.col("__head.body"), t)))
+        df = r.fixed(df, {"__head": F.when(mine & t.rlike(self.HEADER), F.struct(*[F.regexp_extract(t, self.HEADER, k).alias(n) for k, n in ((1, "time"), (2, "host"), (3, "body"))]))})
+        df = r.fixed(df, {"__body": F.when(mine, F.coalesce(F.col("__head.body"), t))})
         pairs = F.arrays_zip(F.transform(F.regexp_extract_all("__body", F.lit(self.PAIR), F.lit(1)), F.upper).alias("k"), F.regexp_extract_all("__body", F.lit(self.PAIR), F.lit(2)).alias("v"))
         tokens = F.transform(F.split("__body", r"(?U)\s+"), F.upper)
-        return df.withColumns({"__pairs": pairs.cast("array<struct<k:string,v:string>>"), "__tokens": tokens})
+        df = r.fixed(df, {"__pairs": pairs.cast("array<struct<k:string,v:string>>"), "__tokens": tokens})
+        verb = last_where(F.col("__tokens"), lambda w: w.isin(*self.DENY, *self.ALLOW))
+        said = [value_of(F.col("__pairs"), name).alias(name) for name in self.PAIRS]
+        return r.fixed(df, {"__said": F.when(mine, F.struct(*said, verb.alias("verb"), last_where(F.col("__tokens"), lambda w: w.isin(*self.PROTOCOLS)).alias("word")))})
 
     def error(self) -> Column:
         return F.when(F.col("__trim") == "", F.lit("empty syslog payload"))
 
     def parsed(self, cfg: EngineConfig) -> Column:
-        pair = lambda name: last_where(F.col("__pairs"), lambda p: p["k"] == name)["v"]
-        verb = last_where(F.col("__tokens"), lambda w: w.isin(*self.DENY, *self.ALLOW))
+        pair = lambda name: F.col(f"__said.{name}")
+        verb = pair("verb")
         action = F.coalesce(F.lower(pair("ACTION")), F.when(verb.isin(*self.DENY), F.lit("deny")).when(verb.isNotNull(), F.lit("allow")), F.lit("unknown"))
-        protocol = F.coalesce(F.upper(pair("PROTO")), last_where(F.col("__tokens"), lambda w: w.isin(*self.PROTOCOLS)), F.lit("unknown"))
+        protocol = F.coalesce(F.upper(pair("PROTO")), pair("word"), F.lit("unknown"))
         source = F.coalesce("source", F.lit(""))
         (src, sport), (dst, dport) = split_ip_port(pair("SRC")), split_ip_port(pair("DST"))
         network = {
@@ -103,30 +112,46 @@ class JsonParser:
         "user": ["username"],
     }
 
+    # Fields of any type, by the object that holds them.
+    OTHERS = {
+        "": "source firewall network user src_port dst_port source_port destination_port".split(),
+        "network": "source destination src_port dst_port".split(),
+        "network.source": ["port"],
+        "network.destination": ["port"],
+    }
+
     @staticmethod
     def _at(path: str) -> Column:
         return F.col("__o_" + path.replace(".", "_"))
 
+    @staticmethod
+    def _holder(path: str) -> str:
+        return path.rpartition(".")[0]
+
     def prepare(self, df: DataFrame, mine: Column) -> DataFrame:
-        """One map column for each object of the payload."""
-        df = df.withColumn("__o_", F.when(mine, r.fields(F.col("__json"))))
-        for path in list(self.TEXTS)[1:]:
-            holder, _, name = path.rpartition(".")
-            df = df.withColumn("__v_" + path.replace(".", "_"), r.field(self._at(holder), name)).withColumn("__o_" + path.replace(".", "_"), r.fields(F.col("__v_" + path.replace(".", "_"))))
+        """One struct for each object of the payload, read once, with a variant for each field."""
+        kind = lambda path: f"struct<{','.join(f'`{n}`:variant' for n in self.TEXTS[path] + self.OTHERS.get(path, []))}>"
+        df = r.fixed(df, {"__o_": F.when(mine, F.col("__json").try_cast(kind("")))})
+        for depth in (0, 1):
+            paths = [p for p in self.TEXTS if p and p.count(".") == depth]
+            df = r.fixed(df, {"__o_" + p.replace(".", "_"): self._at(self._holder(p))[p.rpartition(".")[2]].try_cast(kind(p)) for p in paths})
         return df
 
     def error(self) -> Column:
         bad = F.col("__json").isNull() | (F.col("__o_").isNull() & ~F.is_variant_null(F.col("__json")))
         for path, names in self.TEXTS.items():
             if path:
-                bad = bad | r.not_object(F.col("__v_" + path.replace(".", "_")))
+                bad = bad | (self._at(path).isNull() & r.present(self._at(self._holder(path))[path.rpartition(".")[2]]).isNotNull())
+            wrong = F.lit(False)
             for n in names:
-                bad = bad | r.not_text(r.field(self._at(path), n))
+                wrong = wrong | r.not_text(r.present(self._at(path)[n]))
+            bad = bad | (self._at(path).isNotNull() & wrong)
         return F.when(F.col("__trim") == "", F.lit("empty JSON payload")).when(bad, F.lit("failed to unmarshal JSON: syntax or type mismatch"))
 
     def parsed(self, cfg: EngineConfig) -> Column:
-        text = lambda path, name: blank_to_null(r.text_of(r.field(self._at(path), name)))
-        port = lambda path, name: r.port_of(r.field(self._at(path), name))
+        # Rows that come here have strings or nothing in all of TEXTS.
+        text = lambda path, name: blank_to_null(self._at(path)[name].try_cast("string"))
+        port = lambda path, name: r.port_of(r.present(self._at(path)[name]))
         action = F.coalesce(F.lower(text("", "action")), F.lower(text("firewall", "action")), F.lit("unknown"))
         protocol = F.coalesce(F.upper(text("network", "protocol")), F.upper(text("", "protocol")), F.upper(text("firewall", "protocol")), F.lit("unknown"))
         given = F.coalesce(text("", "severity"), text("firewall", "severity"))
@@ -137,7 +162,7 @@ class JsonParser:
             f"{short}_ip": F.coalesce(text(f"network.{long}", "ip"), text("network", f"{short}_ip"), text("", f"{short}_ip"), text("", f"{long}_ip"), F.lit("")),
             f"{short}_port": F.coalesce(port(f"network.{long}", "port"), port("network", f"{short}_port"), port("", f"{short}_port"), port("", f"{long}_port")),
         }
-        username = r.field(self._at("user"), "username").try_cast("string")
+        username = self._at("user")["username"].try_cast("string")
         category = F.coalesce(text("", "category"), text("firewall", "category"), F.lit("network"))
         return event(F.coalesce(text("", "timestamp"), F.lit(cfg.now)), source, category, action, severity, {**side("src", "source"), **side("dst", "destination"), "protocol": protocol}, username)
 
@@ -146,10 +171,15 @@ class JsonParser:
 class CsvParser:
     format: str = "csv"
 
+    # The columns that are read.
+    CELLS = "timestamp source category action severity src_ip src_port dst_ip dst_port protocol username".split()
+
     def prepare(self, df: DataFrame, mine: Column) -> DataFrame:
         rows = F.col("__rows")
         cells = F.zip_with(F.transform(rows[0], lambda x: F.lower(trim(x))), F.transform(F.get(rows, F.lit(1)), trim), lambda k, v: F.struct(k.alias("k"), v.alias("v")))
-        return df.withColumn("__cells", F.when(mine & (F.size(rows) >= 2) & r.same_width(rows), cells))
+        df = r.fixed(df, {"__cells": F.when(mine & (F.size(rows) >= 2) & r.same_width(rows), cells)})
+        named = [value_of(F.col("__cells"), name).alias(name) for name in self.CELLS]
+        return r.fixed(df, {"__cell": F.when(F.col("__cells").isNotNull(), F.struct(*named))})
 
     def error(self) -> Column:
         rows = F.col("__rows")
@@ -160,7 +190,7 @@ class CsvParser:
         )
 
     def parsed(self, cfg: EngineConfig) -> Column:
-        cell = lambda name: last_where(F.col("__cells"), lambda c: c["k"] == name)["v"]
+        cell = lambda name: F.col(f"__cell.{name}")
         action = F.coalesce(F.lower(blank_to_null(cell("action"))), F.lit("unknown"))
         protocol = F.coalesce(F.upper(blank_to_null(cell("protocol"))), F.lit("unknown"))
         severity = F.coalesce(blank_to_null(cell("severity")), F.when(action == "deny", F.lit("high")), F.lit("info"))
@@ -218,12 +248,12 @@ class Registry:
         error = F.when(~fmt.isin(*self.parsers) if self.parsers else F.lit(True), none)
         for name, p in self.parsers.items():
             error = error.when(fmt == name, F.concat(F.lit(f"parsing failed for format {name}: "), p.error()))
-        df = df.withColumn("error", error)
+        df = r.fixed(df, {"error": error})
         parsed = F.when(F.lit(False), F.lit(None).cast(schemas.PARSED))
         for name, p in self.parsers.items():
             parsed = parsed.when((fmt == name) & F.col("error").isNull(), p.parsed(cfg))
         kind = F.when(F.col("error").startswith("parser selection failed"), F.lit("parser_selection")).when(F.col("error").isNotNull(), F.lit("parse"))
-        return df.withColumns({"parsed": parsed, "error_type": kind})
+        return r.fixed(df, {"parsed": parsed}).withColumn("error_type", kind)
 
 
 def default_registry() -> Registry:

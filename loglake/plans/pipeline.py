@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loglake import schemas
 from loglake.config import EngineConfig
+from loglake.functions.records import fixed
 from loglake.operators.detect import detection, drift, prepare
 from loglake.operators.normalize import universal, validate
 from loglake.operators.parsers import Registry, default_registry
@@ -14,6 +15,22 @@ from loglake.operators.parsers import Registry, default_registry
 STATUSES = ("valid", "invalid", "parse_error")
 
 
+def _detected(raw: DataFrame) -> DataFrame:
+    # Of equal keys the last counts; without this the session's variants refuse them.
+    raw.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    for name in schemas.RAW.names:
+        if name not in raw.columns:
+            raw = raw.withColumn(name, F.lit(None).cast("string"))
+    df = fixed(prepare(raw), {"detection": detection()})
+    return df.withColumn("drift", drift(F.col("detection.format"), F.col("detection.confidence")))
+
+
+def detected(raw: DataFrame) -> DataFrame:
+    """raw with detection and drift alone, where nothing is to be parsed."""
+    df = _detected(raw)
+    return df.drop(*[c for c in df.columns if c.startswith("__")])
+
+
 def process(raw: DataFrame, cfg: EngineConfig | None = None, registry: Registry | None = None) -> DataFrame:
     """raw with detection, drift, parsed, universal, errors, error_type, error, net_summary and status.
 
@@ -21,15 +38,8 @@ def process(raw: DataFrame, cfg: EngineConfig | None = None, registry: Registry
     Missing raw columns are taken as null; columns of other names pass through.
     """
     cfg, registry = cfg or EngineConfig(), registry or default_registry()
-    raw.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    for name in schemas.RAW.names:
-        if name not in raw.columns:
-            raw = raw.withColumn(name, F.lit(None).cast("string"))
-    df = prepare(raw).withColumn("detection", detection())
-    df = df.withColumn("drift", drift(F.col("detection.format"), F.col("detection.confidence")))
-    df = registry.parse(df, cfg)
-    df = df.withColumn("universal", universal(cfg))
-    df = df.withColumn("errors", F.when(F.col("universal").isNotNull(), validate(F.col("universal"))))
+    df = fixed(registry.parse(_detected(raw), cfg), {"universal": universal(cfg)})
+    df = fixed(df, {"errors": F.when(F.col("universal").isNotNull(), validate(F.col("universal")))})
     invalid = F.size("errors") > 0
     df = df.withColumns(
         {

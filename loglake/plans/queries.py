@@ -11,7 +11,7 @@ from loglake.functions.text import bsd_time, split_ip_port
 from loglake.operators.detect import drift
 from loglake.operators.normalize import to_contract_json, validate_json
 from loglake.plans.fixtures import CONFIG, oracle, raw_events, redelivered
-from loglake.plans.pipeline import accounting, first_deliveries, flat, process, quarantine, skip_done
+from loglake.plans.pipeline import accounting, detected, first_deliveries, flat, process, quarantine, skip_done
 from loglake.sources.ingest import accepted, batch_gate, decode
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,11 +36,11 @@ def ingest_batch_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detect_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _done(spark, sf_dir).select("event_id", "detection.format", "detection.source_type", "detection.confidence", "detection.reason")
+    return detected(raw_events(spark, sf_dir)).select("event_id", "detection.format", "detection.source_type", "detection.confidence", "detection.reason")
 
 
 def drift_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _done(spark, sf_dir).select("event_id", "drift.status", "drift.confidence", "drift.message", "drift.suggested_action")
+    return detected(raw_events(spark, sf_dir)).select("event_id", "drift.status", "drift.confidence", "drift.message", "drift.suggested_action")
 
 
 def drift_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
