@@ -48,7 +48,9 @@ def lower_keys(payload: Column) -> Column:
 
 def fixed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """df with more columns, made once for each row: the optimizer copies no expression through a generator."""
-    return df.select("*", F.inline_outer(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+    # A projection makes them, compiled; the generator only opens the struct.
+    made = df.withColumn("__made", F.struct(*[c.alias(n) for n, c in columns.items()]))
+    return made.select(*df.columns, F.inline_outer(F.array("__made")))
 
 
 def present(value: Column) -> Column:
