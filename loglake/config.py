@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 from datetime import UTC, datetime
 
 
@@ -18,6 +18,12 @@ class EngineConfig:
     max_files_per_trigger: int = 10
     trigger_s: int = 2
 
+    @classmethod
+    def of(cls, spark) -> EngineConfig:
+        """Settings of a session: spark.loglake.<name> for each field that is set there; the others have their defaults."""
+        given = {f.name: spark.conf.get(f"spark.loglake.{f.name}", None) for f in fields(cls)}
+        return cls(**{k: v if k == "now" else int(v) for k, v in given.items() if v is not None})
+
     @property
     def year(self) -> int:
         return self.reference_year or int(self.now[:4])

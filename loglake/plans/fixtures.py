@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loglake.config import EngineConfig
+from loglake.plans.pipeline import spread
 
 CONFIG = EngineConfig(now="2024-06-01T00:00:00Z", reference_year=2024)
 
@@ -44,7 +45,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events with the values they were made from."""
     stamp = "date_format(cast(ts AS timestamp_ntz), {})".format
     fields, raw = _sql(stamp("\"yyyy-MM-dd'T'HH:mm:ss'Z'\""), stamp("'MMM dd HH:mm:ss'"), "'\\n'")
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
     return spark.sql(_bound(fields, raw), events=events)
 
 

@@ -15,6 +15,12 @@ from loglake.operators.parsers import Registry, default_registry
 STATUSES = ("valid", "invalid", "parse_error")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table in fewer splits than there are cores, dealt over all of them; a large one stays as it is, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _detected(raw: DataFrame) -> DataFrame:
     # Of equal keys the last counts; without this the session's variants refuse them.
     raw.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
@@ -89,9 +95,10 @@ def first_deliveries(raw: DataFrame, order: str = "arrival") -> DataFrame:
     """
     from pyspark.sql import Window
 
-    w = Window.partitionBy("event_id").orderBy(order)
-    ranked = raw.where("event_id <> ''").withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
-    return ranked.unionByName(raw.where("coalesce(event_id, '') = ''"))
+    # Rows without an id get keys of their own, so that one scan and one shuffle do.
+    key = F.when(F.coalesce("event_id", F.lit("")) == "", F.monotonically_increasing_id())
+    w = Window.partitionBy("event_id", "__own").orderBy(order)
+    return raw.withColumn("__own", key).withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n", "__own")
 
 
 def skip_done(raw: DataFrame, ledger: DataFrame, cfg: EngineConfig) -> DataFrame:

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loglake import schemas
 from loglake.functions.text import bsd_time, split_ip_port
 from loglake.operators.detect import drift
 from loglake.operators.normalize import to_contract_json, validate_json
 from loglake.plans.fixtures import CONFIG, oracle, raw_events, redelivered
 from loglake.plans.pipeline import accounting, detected, first_deliveries, flat, process, quarantine, skip_done
 from loglake.sources.ingest import accepted, batch_gate, decode
+from loglake.sources.stores import Stores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,8 +24,9 @@ def _done(spark: SparkSession, sf_dir: str) -> DataFrame:
     return process(raw_events(spark, sf_dir), CONFIG)
 
 
-def _parsed(*classes: int) -> Query:
-    return lambda s, d: flat(process(raw_events(s, d).where(F.col("class").isin(*classes)), CONFIG))
+def _parsed(format_: str, also: str = "true") -> Query:
+    """Events that detection gave to a parser which could read them; also: a condition on payload."""
+    return lambda s, d: flat(_done(s, d).where((F.col("detection.format") == format_) & F.col("universal").isNotNull() & F.expr(also)))
 
 
 def ingest_accept(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +118,16 @@ def top_talkers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = F.col("universal")
     hour = F.date_format(F.date_trunc("hour", F.try_to_timestamp(u["timestamp"])), "yyyy-MM-dd HH:mm")
-    return _done(spark, sf_dir).where("status = 'valid' AND class IN (3, 4, 5, 6)").groupBy(hour.alias("hour"), u["event"]["action"].alias("action")).agg(F.count("*").alias("n"))
+    return _done(spark, sf_dir).where("status = 'valid'").groupBy(hour.alias("hour"), u["event"]["action"].alias("action")).agg(F.count("*").alias("n"))
+
+
+def archive_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All raw events go to an archive, and one is looked up by its id and the hour of its receipt."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or "/tmp"
+    stores, raw = Stores(f"{shared}/loglake-{uuid.uuid4().hex}"), raw_events(spark, sf_dir)
+    stores.write("archive", raw.select(*schemas.RAW.names), 0, "received_at")
+    at = raw.where("event_id = 'evt_42'").select("received_at").first()
+    return stores.archived(spark, "evt_42", at[0] if at else CONFIG.now)
 
 
 def queries() -> dict[str, Query]:
@@ -129,11 +142,11 @@ def queries() -> dict[str, Query]:
         "drift_boundary": drift_boundary,
         "split_ip_port": split_host_port,
         "syslog_timestamp": syslog_time,
-        "parse_syslog": _parsed(0, 1),
-        "parse_syslog_kv": _parsed(2),
-        "parse_json_flat": _parsed(3, 9),
-        "parse_json_nested": _parsed(4),
-        "parse_csv": _parsed(5, 6),
+        "parse_syslog": _parsed("syslog"),
+        "parse_syslog_kv": _parsed("syslog", "payload LIKE '%ACTION=%'"),
+        "parse_json_flat": _parsed("json", "payload NOT LIKE '%\"firewall\"%'"),
+        "parse_json_nested": _parsed("json", "payload LIKE '%\"firewall\"%'"),
+        "parse_csv": _parsed("csv"),
         "severity_rules": severity_rules,
         "validation_errors": validation_errors,
         "validate_bytes": validate_bytes,
@@ -141,7 +154,7 @@ def queries() -> dict[str, Query]:
         "dedup_first_delivery": dedup_first_delivery,
         "skip_done": skip_done_ids,
         "decode_messages": decode_messages,
-        "archive_lookup": lambda s, d: raw_events(s, d).where("event_id = 'evt_42'").select("event_id", "received_at", "format", "source", "payload"),
+        "archive_lookup": archive_lookup,
         "top_talkers": top_talkers,
         "hourly_counts": hourly_counts,
     }
@@ -160,7 +173,7 @@ WITH {oracle()}, d AS (
     CASE class WHEN 7 THEN 'parser_selection' WHEN 8 THEN 'parse' WHEN 9 THEN 'validation' END AS error_type
   FROM d
 ), u AS (
-  SELECT id, class, status, event_id, CASE WHEN class IN (0, 1, 2) THEN syslog_iso ELSE iso END AS timestamp,
+  SELECT id, class, status, event_id, payload, CASE WHEN class IN (0, 1, 2) THEN syslog_iso ELSE iso END AS timestamp,
     CASE WHEN source <> '' THEN source WHEN det = 'syslog' THEN concat('gw', id % 4) ELSE concat(det, '-source') END AS identifier,
     concat(det, '-firewall') AS product, 'network' AS category, action,
     CASE WHEN class = 6 THEN 'low' WHEN det = 'json' AND action IN ('deny', 'drop') THEN 'high' WHEN action = 'deny' THEN 'high' ELSE 'info' END AS severity,
@@ -190,11 +203,11 @@ WITH {oracle()}, d AS (
         "split_ip_port": f"""{known} SELECT event_id, CASE id % 6 WHEN 0 THEN src WHEN 1 THEN concat('::', id % 9) WHEN 2 THEN '::1' WHEN 3 THEN concat(src, ':') WHEN 4 THEN concat(src, ':x') ELSE src END AS host,
   CASE WHEN id % 6 IN (0, 1) THEN sport END::BIGINT AS port FROM raw""",
         "syslog_timestamp": f"{known} SELECT event_id, CASE WHEN id % 4 IN (0, 3) THEN syslog_iso ELSE '2024-06-01T00:00:00Z' END AS timestamp FROM e",
-        "parse_syslog": f"{known} {flat_} class IN (0, 1)",
-        "parse_syslog_kv": f"{known} {flat_} class = 2",
-        "parse_json_flat": f"{known} {flat_} class IN (3, 9)",
-        "parse_json_nested": f"{known} {flat_} class = 4",
-        "parse_csv": f"{known} {flat_} class IN (5, 6)",
+        "parse_syslog": f"{known} {flat_} raw_format = 'syslog'",
+        "parse_syslog_kv": f"{known} {flat_} raw_format = 'syslog' AND payload LIKE '%ACTION=%'",
+        "parse_json_flat": f"{known} {flat_} raw_format = 'json' AND payload NOT LIKE '%\"firewall\"%'",
+        "parse_json_nested": f"{known} {flat_} raw_format = 'json' AND payload LIKE '%\"firewall\"%'",
+        "parse_csv": f"{known} {flat_} raw_format = 'csv'",
         "severity_rules": f"{known} SELECT raw_format AS format, action, severity, count(*) AS n FROM u GROUP BY ALL",
         "validation_errors": f"{known} SELECT event_id, '/network/dst_port' AS field, 'must be from 0 to 65535' AS message FROM u WHERE class = 9",
         "validate_bytes": f"""{known} SELECT event_id, CASE WHEN id % 5 = 3 THEN 1 ELSE (id % 5 IN (1, 2))::INT + (class = 9)::INT END::BIGINT AS n,
@@ -205,5 +218,5 @@ WITH {oracle()}, d AS (
         "decode_messages": f"{known} SELECT id % 9 = 4 AS corrupt, count(*) AS n, CASE WHEN id % 9 = 4 THEN NULL ELSE sum(length(payload)) END::BIGINT AS chars FROM raw GROUP BY id % 9 = 4".replace("CASE WHEN id % 9 = 4 THEN NULL ELSE sum(length(payload)) END", "sum(CASE WHEN id % 9 <> 4 THEN length(payload) END)"),
         "archive_lookup": f"{known} SELECT event_id, received_at, format, source, payload FROM raw WHERE event_id = 'evt_42'",
         "top_talkers": f"{known} SELECT src_ip, count(*) AS n, count(*) FILTER (severity = 'high') AS high FROM u WHERE status = 'valid' GROUP BY src_ip ORDER BY n DESC, src_ip LIMIT 20",
-        "hourly_counts": f"{known} SELECT concat(substr(timestamp, 1, 10), ' ', substr(timestamp, 12, 2), ':00') AS hour, action, count(*) AS n FROM u WHERE status = 'valid' AND class IN (3, 4, 5, 6) GROUP BY ALL",
+        "hourly_counts": f"{known} SELECT concat(substr(timestamp, 1, 10), ' ', substr(timestamp, 12, 2), ':00') AS hour, action, count(*) AS n FROM u WHERE status = 'valid' GROUP BY ALL",
     }

@@ -11,6 +11,39 @@ from pathlib import Path
 from loglake.config import EngineConfig
 from loglake.sources.ingest import EMPTY_BATCH, EMPTY_PAYLOAD
 
+# Routes, and answers to requests that can't be read.
+ROUTES = {"/health": ("GET", "HEAD"), "/ingest": ("POST",), "/ingest/batch": ("POST",)}
+EMPTY_ITEM = "item at index {} has empty payload"
+INVALID = {"/ingest": "invalid JSON payload", "/ingest/batch": "invalid JSON batch payload"}
+FIELDS = ("format", "source", "payload")
+
+
+class _Fields(dict):
+    """A request's fields by name, whatever their case; null leaves a field as it is, of equal names the last counts."""
+
+    def __init__(self, pairs: list[tuple[str, object]]):
+        super().__init__()
+        for name, value in pairs:
+            if name.lower() in FIELDS and value is not None:
+                if not isinstance(value, str):
+                    raise ValueError(f"{name.lower()} must be a string")
+                self[name.lower()] = value
+
+
+class _Object(list):
+    """A JSON object as its pairs."""
+
+
+def _decoded(body: bytes, batch: bool) -> list[_Fields]:
+    """The requests of a body: its first JSON value, what follows isn't read."""
+    value, _ = json.JSONDecoder(object_pairs_hook=_Object).raw_decode(body.decode("utf-8", "replace").lstrip(" \t\r\n"))
+    rows = ([] if value is None else value) if batch else [value]
+    if not isinstance(rows, list) or isinstance(rows, _Object):
+        raise ValueError("not an array")
+    if any(r is not None and not isinstance(r, _Object) for r in rows):
+        raise ValueError("not an object")
+    return [_Fields(r or []) for r in rows]
+
 
 def _append(spool: Path, events: list[dict]) -> None:
     """One file per request, renamed into place, so that a reader never sees half of it."""
@@ -27,23 +60,22 @@ def _event(request: dict) -> dict:
 
 def answer(method: str, path: str, body: bytes, spool: Path) -> tuple[int, dict]:
     """Status code and JSON answer of one request."""
-    if (method, path) == ("GET", "/health"):
-        return 200, {"status": "ok"}
-    if method != "POST" or path not in ("/ingest", "/ingest/batch"):
+    if path not in ROUTES:
         return 404, {"status": "not_found", "message": path}
+    if method not in ROUTES[path]:
+        return 405, {"status": "method_not_allowed", "message": method}
+    if path == "/health":
+        return 200, {"status": "ok"}
+    batch = path == "/ingest/batch"
     try:
-        asked = json.loads(body)
-    except ValueError:
-        return 400, {"status": "bad_request", "message": "invalid JSON"}
-    batch = path.endswith("batch")
-    rows = asked if batch else [asked]
-    if not isinstance(rows, list) or not all(isinstance(r, dict) and all(isinstance(r.get(k, ""), str) for k in ("format", "source", "payload")) for r in rows):
-        return 400, {"status": "bad_request", "message": "invalid JSON"}
+        rows = _decoded(body, batch)
+    except ValueError as e:
+        return 400, {"status": "bad_request", "message": f"{INVALID[path]}: {e}"}
     if not rows:
         return 400, {"status": "bad_request", "message": EMPTY_BATCH}
     for k, r in enumerate(rows):
         if not r.get("payload"):
-            return 400, {"status": "bad_request", "message": f"event at index {k}: {EMPTY_PAYLOAD}" if batch else EMPTY_PAYLOAD}
+            return 400, {"status": "bad_request", "message": EMPTY_ITEM.format(k) if batch else EMPTY_PAYLOAD}
     events = [_event(r) for r in rows]
     try:
         _append(spool, events)
@@ -61,15 +93,19 @@ def serve(spool: str, port: int = 8080, host: str = "127.0.0.1") -> ThreadingHTT
 
         def _reply(self) -> None:
             body = self.rfile.read(int(self.headers.get("Content-Length") or 0))
-            code, told = answer(self.command, self.path, body, Path(spool))
+            path = self.path.partition("?")[0]
+            code, told = answer(self.command, path, body, Path(spool))
             out = json.dumps(told).encode()
             self.send_response(code)
             self.send_header("Content-Type", "application/json")
+            if code == 405:
+                self.send_header("Allow", ", ".join(ROUTES[path]))
             self.send_header("Content-Length", str(len(out)))
             self.end_headers()
-            self.wfile.write(out)
+            if self.command != "HEAD":
+                self.wfile.write(out)
 
-        do_GET = do_POST = _reply  # noqa: N815
+        do_GET = do_HEAD = do_POST = do_PUT = do_PATCH = do_DELETE = do_OPTIONS = _reply  # noqa: N815
 
         def log_message(self, *args: object) -> None:
             pass

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -23,24 +25,29 @@ def handle(batch: DataFrame, batch_id: int, stores: Stores, cfg: EngineConfig, r
     """
     spark = batch.sparkSession
     raw = first_deliveries(batch.select(*schemas.RAW.names).withColumn("arrival", F.monotonically_increasing_id())).drop("arrival")
-    stores.write("archive", skip_done(raw, stores.ledger(spark, but=batch_id), cfg), batch_id)
-    taken = spark.read.schema(schemas.RAW).parquet(f"{stores.path('archive')}/batch_id={batch_id}")
-    stores.write("work", process(taken, cfg, registry), batch_id)
-    done = spark.read.parquet(f"{stores.path('work')}/batch_id={batch_id}")
+    since = datetime.fromisoformat(cfg.now) - timedelta(seconds=cfg.done_ttl_s)
+    live = stores.ledger(spark, but=batch_id, since=since.isoformat())
+    stores.write("work", skip_done(raw, live, cfg), batch_id)
+    taken = spark.read.schema(schemas.RAW).parquet(f"{stores.path('work')}/batch_id={batch_id}")
+    stores.write("archive", taken, batch_id, "received_at")
+    stores.write("processed", process(taken, cfg, registry), batch_id)
+    done = spark.read.parquet(f"{stores.path('processed')}/batch_id={batch_id}")
     stores.write("normalized", normalized(done), batch_id)
     stores.write("quarantine", quarantine(done), batch_id)
     stores.mark_done(done.where("status <> 'parse_error'"), batch_id, cfg)
+    for name in ("work", "processed"):
+        stores.forget(spark, name, batch_id)
 
 
 def run_stream(spark: SparkSession, spool: str, root: str, cfg: EngineConfig | None = None, registry: Registry | None = None, once: bool = False) -> StreamingQuery:
     """Start the stream; once: process what is there and end. The checkpoint is the record of what was read.
 
-    The time of a batch is that of cfg, or the clock's for each batch if none is given.
+    Settings are those of cfg, or else the session's, with the clock's time for each batch.
     """
     stores = Stores(root)
-    step = lambda batch, k: handle(batch, k, stores, cfg or EngineConfig(), registry)
-    writer = stream_spool(spark, spool, cfg or EngineConfig()).writeStream.foreachBatch(step).option("checkpointLocation", f"{root}/checkpoint")
-    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=f"{(cfg or EngineConfig()).trigger_s} seconds")
+    step = lambda batch, k: handle(batch, k, stores, cfg or EngineConfig.of(spark), registry)
+    writer = stream_spool(spark, spool, cfg or EngineConfig.of(spark)).writeStream.foreachBatch(step).option("checkpointLocation", f"{root}/checkpoint")
+    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=f"{(cfg or EngineConfig.of(spark)).trigger_s} seconds")
     return writer.start()
 
 

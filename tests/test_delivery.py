@@ -64,12 +64,15 @@ def test_http(tmp_path):
     assert code == 202 and told["event_id"].startswith("evt_")
     code, told = ask("POST", "/ingest/batch", '[{"payload":"a"},{"payload":"b"},{"payload":"c"}]')
     assert code == 202 and told["count"] == 3 and len(set(told["event_ids"])) == 3
-    for path, body in (("/ingest", "{"), ("/ingest", '{"payload":""}'), ("/ingest/batch", "[]"), ("/ingest/batch", '[{"payload":"a"},{"payload":""}]'), ("/ingest", "[]"), ("/ingest", '{"payload":5}')):
+    for path, body in (("/ingest", "{"), ("/ingest", '{"payload":""}'), ("/ingest/batch", "[]"), ("/ingest/batch", '[{"payload":"a"},{"payload":""}]'), ("/ingest", "[]"), ("/ingest", '{"payload":5}'), ("/ingest", "null"), ("/ingest/batch", "null"), ("/ingest/batch", "[[]]x"), ("/ingest/batch", '{"payload":"a"}')):
         assert ask("POST", path, body)[0] == 400
-    assert ask("GET", "/nowhere")[0] == 404
+    assert ask("GET", "/nowhere")[0] == 404 and ask("GET", "/ingest")[0] == ask("POST", "/health")[0] == ask("PUT", "/ingest/batch")[0] == 405
+    assert ask("POST", "/ingest/batch", '[{"payload":"a"},{"source":"s"}]')[1]["message"] == "item at index 1 has empty payload"
+    # Null leaves a field empty, names may have any case, the last of equal ones counts, what follows the value isn't read.
+    assert ask("POST", "/ingest", '{"source":null,"PAYLOAD":"p","Payload":"q","extra":[1]} trailing')[0] == 202
     server.shutdown()
     lines = [json.loads(x) for p in tmp_path.glob("part-*.json") for x in p.read_text().splitlines()]
-    assert sorted(x["payload"] for x in lines) == ["a", "b", "c", "x"] and lines[0]["event_id"] != lines[1]["event_id"]
+    assert sorted(x["payload"] for x in lines) == ["a", "b", "c", "q", "x"] and lines[0]["event_id"] != lines[1]["event_id"]
 
 
 def test_dedup_and_ttl(spark):
@@ -91,6 +94,15 @@ def test_batches(spark, tmp_path):
     assert {(r.event_id, r.batch_id) for r in stores.read(spark, "archive").collect()} == {("v", 0), ("bad", 0), ("inv", 0), ("bad", 1)}
     assert {r.event_id for r in stores.ledger(spark).collect()} == {"v", "inv", "bad"}
     assert stores.archived(spark, "inv").first().payload == "SRC=1 SPT=70000"
+    found = stores.archived(spark, "inv", CFG.now)
+    assert found.first().payload == "SRC=1 SPT=70000" and "PartitionFilters: [isnotnull(hour" in found._jdf.queryExecution().executedPlan().toString()
+    live = stores.ledger(spark, but=0, since="2026-08-31T00:00:00Z")
+    assert live.count() == 1 and "PartitionFilters: [isnotnull(hour" in live._jdf.queryExecution().executedPlan().toString()
+    assert stores.ledger(spark, since="2026-09-01T01:00:00Z").count() == 0
+    assert not (tmp_path / "work" / "batch_id=0").exists() and not (tmp_path / "processed" / "batch_id=1").exists()
+    stores.compact(spark, "ledger", "2026-09-01-00")
+    assert {r.event_id for r in stores.ledger(spark).collect()} == {"v", "inv", "bad"} and {r.batch_id for r in stores.ledger(spark).collect()} == {-1}
+    assert stores.prune(spark, "ledger", CFG.now) == 0 and stores.prune(spark, "ledger", "2026-09-01T01:00:00Z") == 1 and stores.ledger(spark).count() == 0
     assert reprocess(spark, stores, CFG).select("status").first().status == "parse_error"
 
 
@@ -107,6 +119,14 @@ def test_stream_restart_and_redelivery(spark, tmp_path):
     assert sorted(str(r.event_id) for r in stores.read(spark, "quarantine").collect()) == ["None", "b"]
 
 
+def test_settings(spark):
+    spark.conf.set("spark.loglake.done_ttl_s", "60")
+    try:
+        assert EngineConfig.of(spark).done_ttl_s == 60 and EngineConfig.of(spark).trigger_s == EngineConfig().trigger_s
+    finally:
+        spark.conf.unset("spark.loglake.done_ttl_s")
+
+
 def test_windows(spark):
     df = spark.sql("select timestamp'2026-01-01 10:10:00' as event_time, 'e1' as event_id, named_struct('action','deny','severity','high') as event union all select timestamp'2026-01-01 10:50:00', 'e2', named_struct('action','deny','severity','high')")
     assert [(r.action, r.n) for r in counts_by_window(df).collect()] == [("deny", 2)]

@@ -15,9 +15,9 @@ from loglake.operators.parsers import FunctionParser, Registry, default_registry
 from loglake.plans.pipeline import STATUSES, accounting, flat, normalized, process, quarantine
 
 CFG = EngineConfig(now="2026-09-01T00:00:00Z", reference_year=2026)
-LINE = "Aug 28 18:30:12 firewall01 DENY TCP SRC=192.168.1.20:54321 DST=10.0.0.15:443"
-CSV = "timestamp,action,protocol,src_ip,src_port,dst_ip,dst_port\n2026-08-28T18:30:12Z,deny,TCP,192.168.1.20,54321,10.0.0.15,443"
-NESTED = '{"timestamp":"2026-08-28T18:30:12Z","firewall":{"action":"deny","protocol":"TCP"},"network":{"source":{"ip":"192.168.1.20","port":54321},"destination":{"ip":"10.0.0.15","port":443}}}'
+LINE = "Jul 14 07:21:45 gate-7 DENY TCP SRC=172.16.4.9:40111 DST=10.8.3.77:443"
+CSV = "timestamp,action,protocol,src_ip,src_port,dst_ip,dst_port\n2026-07-14T07:21:45Z,deny,TCP,172.16.4.9,40111,10.8.3.77,443"
+NESTED = '{"timestamp":"2026-07-14T07:21:45Z","firewall":{"action":"deny","protocol":"TCP"},"network":{"source":{"ip":"172.16.4.9","port":40111},"destination":{"ip":"10.8.3.77","port":443}}}'
 
 
 def run(spark, rows, cfg=CFG, registry=None):
@@ -46,7 +46,7 @@ DETECT = [
     ("Traceback, most recent:\n File a, line 1, in x", "", "unknown", 0.0),
     (LINE, "", "syslog", 0.85),
     ("<134>" + LINE, "", "syslog", 0.85),
-    ("2026-08-28T18:30:12 host up", "", "syslog", 0.85),
+    ("2026-07-14T07:21:45 host up", "", "syslog", 0.85),
     ("anything src=1.2.3.4", "", "syslog", 0.85),
     ("XSRC=1", "", "unknown", 0.0),
     ("", "", "unknown", 0.0),
@@ -77,23 +77,23 @@ def test_drift(spark, fmt, sure, status):
         assert d.message == f"Payload matches established {fmt.strip().lower()} parser contract"
 
 
-HEAD = "Aug 28 18:30:12 fw "
+HEAD = "Jul 14 07:21:45 fw "
 SYSLOG = [
     # payload, source, action, severity, protocol, src, dst, identifier
-    (LINE, "", "deny", "high", "TCP", ("192.168.1.20", 54321), ("10.0.0.15", 443), "firewall01"),
-    (HEAD + "DENY TCP SRC=192.168.1.20 SPT=54321 DST=10.0.0.15 DPT=443", "", "deny", "high", "TCP", ("192.168.1.20", 54321), ("10.0.0.15", 443), "fw"),
+    (LINE, "", "deny", "high", "TCP", ("172.16.4.9", 40111), ("10.8.3.77", 443), "gate-7"),
+    (HEAD + "DENY TCP SRC=172.16.4.9 SPT=40111 DST=10.8.3.77 DPT=443", "", "deny", "high", "TCP", ("172.16.4.9", 40111), ("10.8.3.77", 443), "fw"),
     (HEAD + "ACTION=DENY PROTO=TCP SRC=1.1.1.1 DST=2.2.2.2", "edge", "deny", "high", "TCP", ("1.1.1.1", None), ("2.2.2.2", None), "edge"),
     (HEAD + "ACTION=DROP PROTO=udp SRC=1.1.1.1:1 SPT=x", "", "drop", "info", "UDP", ("1.1.1.1", 1), ("", None), "fw"),
-    (HEAD + "ALLOW UDP SRC=10.0.0.5:1234 DST=10.0.0.1:53", "", "allow", "info", "UDP", ("10.0.0.5", 1234), ("10.0.0.1", 53), "fw"),
+    (HEAD + "ALLOW UDP SRC=10.9.1.4:1234 DST=10.9.1.2:53", "", "allow", "info", "UDP", ("10.9.1.4", 1234), ("10.9.1.2", 53), "fw"),
     (HEAD + "deny tcp src=1.1.1.1:2 dst=3.3.3.3:4", "", "deny", "high", "TCP", ("1.1.1.1", 2), ("3.3.3.3", 4), "fw"),
     (HEAD + "ALLOW then BLOCK ICMP TCP", "", "deny", "high", "TCP", ("", None), ("", None), "fw"),
     (HEAD + "PERMIT SRC=[::1]:80 DST=::1", "", "allow", "info", "unknown", ("::1", 80), ("::1", None), "fw"),
     (HEAD + "SRC=1.1.1.1: DST=h:x", "", "unknown", "info", "unknown", ("1.1.1.1:", None), ("h:x", None), "fw"),
     (HEAD + "SRC=1.1.1.1 SRC=2.2.2.2", "", "unknown", "info", "unknown", ("2.2.2.2", None), ("", None), "fw"),
-    ("no header SRC=1.1.1.1", "edge-router-01", "unknown", "info", "unknown", ("1.1.1.1", None), ("", None), "edge-router-01"),
+    ("no header SRC=1.1.1.1", "core-sw-3", "unknown", "info", "unknown", ("1.1.1.1", None), ("", None), "core-sw-3"),
     ("no header SRC=1.1.1.1", "", "unknown", "info", "unknown", ("1.1.1.1", None), ("", None), "unknown-host"),
-    (LINE + "\nSRC=9.9.9.9", "", "deny", "high", "TCP", ("9.9.9.9", None), ("10.0.0.15", 443), "unknown-host"),
-    ("<134>" + LINE, "", "deny", "high", "TCP", ("192.168.1.20", 54321), ("10.0.0.15", 443), "firewall01"),
+    (LINE + "\nSRC=9.9.9.9", "", "deny", "high", "TCP", ("9.9.9.9", None), ("10.8.3.77", 443), "unknown-host"),
+    ("<134>" + LINE, "", "deny", "high", "TCP", ("172.16.4.9", 40111), ("10.8.3.77", 443), "gate-7"),
 ]
 
 
@@ -104,10 +104,10 @@ def test_syslog(spark):
         assert (e.event.action, e.event.severity, e.network.protocol, e.source.identifier) == (action, severity, protocol, identifier), r.payload
         assert ((e.network.src_ip, e.network.src_port), (e.network.dst_ip, e.network.dst_port)) == (src, dst), r.payload
         assert (e.source.product, e.user.username, e.event.category) == ("syslog-firewall", None, "network")
-    assert got[0].parsed.timestamp == "2026-08-28T18:30:12Z"
-    bad = run(spark, [(p, "syslog", "") for p in ("", "  ", "Aug  5 18:30:12 fw x", "Feb 30 18:30:12 fw x", "Aug   28 18:30:12 fw x")])
+    assert got[0].parsed.timestamp == "2026-07-14T07:21:45Z"
+    bad = run(spark, [(p, "syslog", "") for p in ("", "  ", "Jul  5 07:21:45 fw x", "Feb 30 07:21:45 fw x", "Jul   14 07:21:45 fw x")])
     assert [r.error for r in bad[:2]] == ["parsing failed for format syslog: empty syslog payload"] * 2
-    assert [r.parsed.timestamp for r in bad[2:]] == [CFG.now, CFG.now, "2026-08-28T18:30:12Z"]
+    assert [r.parsed.timestamp for r in bad[2:]] == [CFG.now, CFG.now, "2026-07-14T07:21:45Z"]
 
 
 def flat_json(**more):
@@ -116,9 +116,9 @@ def flat_json(**more):
 
 def test_json(spark):
     rows = [
-        (flat_json(), "json", "firewall-02"),
+        (flat_json(), "json", "fw-east"),
         (NESTED, "json", ""),
-        (flat_json(src_port="54321", dst_port="invalid"), "json", ""),
+        (flat_json(src_port="40111", dst_port="invalid"), "json", ""),
         (flat_json(src_port="", dst_port=443.0), "json", ""),
         (flat_json(src_port=True, dst_port=None), "json", ""),
         ('{"source_ip":"a","source_port":1,"destination_ip":"b","destination_port":" 2 "}', "json", ""),
@@ -129,9 +129,9 @@ def test_json(spark):
         ('{"action":null,"network":null,"user":{"username":null}}', "json", ""),
     ]
     e = [r.parsed for r in run(spark, rows)]
-    assert (e[0].event.action, e[0].event.severity, e[0].source.identifier, e[0].network.protocol) == ("block", "high", "firewall-02", "TCP")
-    assert (e[1].event.action, e[1].event.severity, e[1].source.identifier, e[1].network.src_port, e[1].network.dst_ip) == ("deny", "high", "json-source", 54321, "10.0.0.15")
-    assert [(x.network.src_port, x.network.dst_port) for x in e[2:5]] == [(54321, None), (None, 443), (None, None)]
+    assert (e[0].event.action, e[0].event.severity, e[0].source.identifier, e[0].network.protocol) == ("block", "high", "fw-east", "TCP")
+    assert (e[1].event.action, e[1].event.severity, e[1].source.identifier, e[1].network.src_port, e[1].network.dst_ip) == ("deny", "high", "json-source", 40111, "10.8.3.77")
+    assert [(x.network.src_port, x.network.dst_port) for x in e[2:5]] == [(40111, None), (None, 443), (None, None)]
     assert (e[5].network.src_ip, e[5].network.src_port, e[5].network.dst_ip, e[5].network.dst_port) == ("a", 1, "b", 2)
     assert (e[6].event.action, e[6].event.severity, e[6].source.vendor, e[6].source.identifier, e[6].user.username) == ("allow", "low", "v", "i", "bob")
     assert (e[7].network.protocol, e[7].network.src_ip, e[7].network.src_port) == ("UDP", "deep", 7)
@@ -146,23 +146,23 @@ def test_json(spark):
 
 def test_csv(spark):
     rows = [
-        (CSV, "csv", "firewall-01"),
+        (CSV, "csv", "fw-west"),
         ("dst_port,action,src_ip\n443,allow,1.1.1.1", "csv", ""),
         (" Action , PROTOCOL ,Src_IP\n allow , udp , 1.1.1.1 ", "csv", ""),
         ('"action","src_ip"\r\n"de""ny","1.1,1.1"\r\n', "csv", ""),
         ("action,src_port,dst_port\ndeny,not_a_port,", "csv", ""),
         ("action,src_ip\nallow,first\ndeny,second", "csv", ""),
-        ("source,category,severity,username,action\ncustom-firewall-99,network_security,critical,admin_user,drop", "csv", "x"),
+        ("source,category,severity,username,action\npf-lab,network_security,critical,ops_anna,drop", "csv", "x"),
         ("action,action\nallow,drop", "csv", ""),
     ]
     e = [r.parsed for r in run(spark, rows)]
-    assert (e[0].event.action, e[0].event.severity, e[0].network.protocol, e[0].network.src_port, e[0].network.dst_port, e[0].source.identifier) == ("deny", "high", "TCP", 54321, 443, "firewall-01")
+    assert (e[0].event.action, e[0].event.severity, e[0].network.protocol, e[0].network.src_port, e[0].network.dst_port, e[0].source.identifier) == ("deny", "high", "TCP", 40111, 443, "fw-west")
     assert (e[1].network.dst_port, e[1].network.src_ip, e[1].timestamp, e[1].source.identifier) == (443, "1.1.1.1", CFG.now, "csv-source")
     assert (e[2].event.action, e[2].network.protocol, e[2].network.src_ip) == ("allow", "UDP", "1.1.1.1")
     assert (e[3].event.action, e[3].network.src_ip) == ('de"ny', "1.1,1.1")
     assert (e[4].network.src_port, e[4].network.dst_port) == (None, None)
     assert e[5].network.src_ip == "first"
-    assert (e[6].source.identifier, e[6].event.category, e[6].event.severity, e[6].user.username) == ("custom-firewall-99", "network_security", "critical", "admin_user")
+    assert (e[6].source.identifier, e[6].event.category, e[6].event.severity, e[6].user.username) == ("pf-lab", "network_security", "critical", "ops_anna")
     assert (e[7].event.action, e[7].event.severity) == ("drop", "info")
     bad = run(spark, [(p, "csv", "") for p in ("", " ", "action,src_ip", "action,src_ip\ndeny", 'action,src_ip\n"deny,1', 'action\nde"ny')])
     assert all(r.error_type == "parse" for r in bad)
@@ -195,10 +195,10 @@ def test_registry(spark):
 
 
 def test_three_formats_converge(spark):
-    got = [flat_ for flat_ in flat(spark.createDataFrame([("e1", "r", f, "firewall-01", p) for f, p in (("syslog", LINE), ("json", NESTED), ("csv", CSV))], schemas.RAW).transform(lambda d: process(d, CFG))).collect()]
+    got = [flat_ for flat_ in flat(spark.createDataFrame([("e1", "r", f, "fw-west", p) for f, p in (("syslog", LINE), ("json", NESTED), ("csv", CSV))], schemas.RAW).transform(lambda d: process(d, CFG))).collect()]
     keys = ("identifier", "action", "severity", "protocol", "src_ip", "src_port", "dst_ip", "dst_port", "category", "timestamp")
     assert len({tuple(r[k] for k in keys) for r in got}) == 1
-    assert got[0].identifier == "firewall-01" and got[0].timestamp == "2026-08-28T18:30:12Z"
+    assert got[0].identifier == "fw-west" and got[0].timestamp == "2026-07-14T07:21:45Z"
 
 
 @pytest.mark.parametrize("payload", ["a\tb  c ", " x\n", "CEF:0|v|p|1|2|n|5|src=1.1.1.1", "<a>é</a>"])
@@ -276,7 +276,7 @@ def test_accounting_and_split(spark):
     assert normalized(df).count() + quarantine(df).count() == 5
     assert {r.status for r in df.select("status").collect()} <= set(STATUSES)
     assert normalized(df).where("event_time is null").count() == 0
-    assert df.where("event_id = 'e0'").first().net_summary == "192.168.1.20:54321 -> 10.0.0.15:443 (proto: TCP)"
+    assert df.where("event_id = 'e0'").first().net_summary == "172.16.4.9:40111 -> 10.8.3.77:443 (proto: TCP)"
 
 
 def test_empty_table(spark):
