@@ -1,8 +1,8 @@
 """Toxicity with a counterfactually regularised classifier.
 
 A sparse logistic model over the words of a text and their beginnings (their presence),
-trained in numpy from a bounded sample. Sentences that name a group are also trained on with the group swapped
-for others of its kind: squared differences between the scores of a text and its swapped
+trained in numpy from a bounded sample. Texts that name a group are also trained on with the group swapped
+for the others of its kind in its language: squared differences between the scores of a text and its swapped
 versions are penalised, so that naming a group as such doesn't move the score.
 """
 
@@ -12,39 +12,58 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from loglake.llm import common
 
-#: Terms that are swapped with each other, by kind.
-IDENTITIES = {
-    "gender": "man woman men women male female boy girl boys girls transgender homme femme hommes femmes mann frau männer frauen hombre mujer hombres mujeres".split(),
-    "religion": "christian christians muslim muslims jew jews jewish hindu hindus buddhist buddhists atheist atheists catholic catholics protestant protestants chrétien musulman juif christ moslem jude cristiano musulmán judío".split(),
-    "orientation": "gay lesbian straight bisexual queer homosexual heterosexual schwul lesbisch hétérosexuel homosexuel".split(),
-    "origin": "black white asian african european american latino latina hispanic arab chinese indian mexican immigrant immigrants refugee refugees native noir blanc schwarz weiß negro blanco".split(),
-    "ability": "deaf blind disabled autistic aveugle sourd behindert ciego sordo".split(),
-    "age": "old young elderly teenage vieux jeune alt jung viejo joven".split(),
-}
-
-
-def words_of(text: Column) -> Column:
+#: Terms that are swapped with each other: a list for each kind and language.
+IDENTITIES = [
+    line.split()
+    for line in (
+        "man woman men women male female boy girl boys girls transgender",
+        "homme femme hommes femmes garçon fille",
+        "mann frau männer frauen junge mädchen",
+        "hombre mujer hombres mujeres niño niña",
+        "christian christians muslim muslims jew jews jewish hindu hindus buddhist buddhists atheist atheists catholic catholics protestant protestants",
+        "chrétien musulman juif catholique athée",
+        "christ moslem jude hindu buddhist atheist",
+        "cristiano musulmán judío católico ateo",
+        "gay lesbian straight bisexual queer homosexual heterosexual",
+        "schwul lesbisch homosexuell heterosexuell",
+        "hétérosexuel homosexuel lesbienne",
+        "homosexual heterosexual lesbiana",
+        "black white asian african european american latino latina hispanic arab chinese indian mexican immigrant immigrants refugee refugees native",
+        "noir blanc asiatique africain européen arabe chinois immigré réfugié",
+        "schwarz weiß asiatisch afrikanisch europäisch arabisch einwanderer flüchtling",
+        "negro blanco asiático africano europeo árabe chino inmigrante refugiado",
+        "deaf blind disabled autistic",
+        "aveugle sourd handicapé",
+        "behindert blind taub",
+        "ciego sordo discapacitado",
+        "old young elderly teenage",
+        "vieux jeune âgé",
+        "alt jung",
+        "viejo joven anciano",
+    )
+]
+TERMS = frozenset(t for terms in IDENTITIES for t in terms)
+
+
+def words_of(text: str | None) -> set[str]:
     """Distinct lower-cased words of a whole text: runs of letters and digits."""
-    return F.array_distinct(F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), ""))
+    import regex
+
+    return set(regex.findall(r"[\p{L}\p{N}]+", (text or "").lower()))
 
 
 #: Lengths of the beginnings that stand for all forms of a word.
 STEMS = (4, 5, 6)
 
 
-def features_of(words: Column) -> Column:
-    """The distinct words and their beginnings, those with a star."""
-    stems = [F.transform(F.filter(words, lambda w: F.length(w) >= k), lambda w: F.concat(F.substring(w, 1, k), F.lit("*"))) for k in STEMS]
-    return F.array_distinct(F.concat(words, *stems))
-
-
 def features(words: set[str]) -> set[str]:
-    """As features_of(), for Python."""
+    """The words and their beginnings, those with a star."""
     return words.union(*[{f"{w[:k]}*" for w in words if len(w) >= k} for k in STEMS])
 
 
@@ -59,14 +78,17 @@ class Model:
         return self.bias + sum(map(self.weights.__getitem__, sorted(self.weights.keys() & features(words))))
 
 
-def swapped(words: set[str], known: set[str]) -> list[set[str]]:
-    """Versions of a text's features with each named group replaced by the other terms of its kind that have a weight."""
+def swapped(found: set[str], known: set[str]) -> list[set[str]]:
+    """Versions of a text's features with each named group replaced by each other of its list that has a weight.
+
+    Beginnings that other words of the text share stay.
+    """
     out = []
-    for terms in IDENTITIES.values():
-        for term in words.intersection(terms):
-            others = [x for x in terms if x != term and x in known][:4]
-            rest = words - features({term})
-            out += [rest | features({x}) for x in others] or [rest]
+    plain = {w for w in found if not w.endswith("*")}
+    for term in sorted(plain & TERMS):
+        rest = found - (features({term}) - features(plain - {term}))
+        others = sorted({x for terms in IDENTITIES if term in terms for x in terms if x != term and x in known})
+        out += [rest | (features({x}) & known) for x in others] or [rest]
     return out
 
 
@@ -90,7 +112,7 @@ def train(texts: list[list[str]], labels: list[int], width: int = 6000, l1: floa
         if c0 + c1 >= least:
             e1 = (c0 + c1) * n1 / len(y)
             strength[w] = (c1 - e1) ** 2 / (e1 * (1 - n1 / len(y)) + 1e-9)
-    named = {t for terms in IDENTITIES.values() for t in terms} & strength.keys()
+    named = TERMS & strength.keys()
     chosen = sorted(sorted(strength, key=lambda w: (-strength[w], w))[:width] + sorted(named))
     column = {w: k for k, w in enumerate(dict.fromkeys(chosen))}
 
@@ -134,24 +156,30 @@ def train(texts: list[list[str]], labels: list[int], width: int = 6000, l1: floa
     return Model({x: float(w[j]) for x, j in column.items() if w[j]}, float(b))
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def _features_of(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: sorted(features(words_of(t))))
+
+
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", bound: int = 8000, width: int = 6000, least: int = 5, **options) -> Model:
     """Train from at most `bound` labelled documents (those whose key hash is smallest); null labels aren't learned from.
 
     Features are counted and chosen by Spark (see train()); the driver receives `width` of them and, for each
-    sampled text, the numbers of those it has. Of several labels for a key the largest counts.
+    sampled text, the numbers of those it has. Of several labels for a key the largest counts, of several rows one.
+    Without labels, or with one value only, the score is a constant; null texts have no words.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull())
     chosen = common.sample_ids(known, key, bound)
     rows = known.join(F.broadcast(chosen), key, "left_semi").groupBy(key).agg(F.max(label).cast("long").alias("y"))
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("t")).join(F.broadcast(rows.withColumnRenamed(key, "id")), "id").dropDuplicates(["id"])
-    texts = common.written(texts.select("id", "y", features_of(words_of(F.col("t"))).alias("w")))
+    texts = common.written(texts.select("id", "y", _features_of(F.col("t")).alias("w")))
     labelled = {r["id"]: r["y"] for r in texts.select("id", "y").collect()}
     n, n1 = len(labelled), sum(labelled.values())
     each = texts.select("id", "y", F.explode("w").alias("w"))
     expected = F.col("n") * (n1 / max(n, 1))
     strength = (F.col("n1") - expected) ** 2 / (expected * (1 - n1 / max(n, 1)) + 1e-9)
     counts = each.groupBy("w").agg(F.count("*").alias("n"), F.sum("y").alias("n1")).where(F.col("n") >= least).select("w", strength.alias("s"))
-    named = sorted(features({t for terms in IDENTITIES.values() for t in terms}))
+    named = sorted(features(set(TERMS)))
     kept = counts.orderBy(F.desc("s"), "w").limit(width).unionByName(counts.where(F.col("w").isin(named))).select("w").distinct()
     vocabulary = sorted(r["w"] for r in kept.collect())
     if not vocabulary:
@@ -173,10 +201,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", threshold: float =
 
     @F.pandas_udf("double")
     def rate(texts: pd.Series) -> pd.Series:
-        import regex
-
-        split = regex.compile(r"[^\p{L}\p{N}]+").split
-        z = np.asarray([shared.value.margin({w for w in split((t or "").lower()) if w}) for t in texts])
+        z = np.asarray([shared.value.margin(words_of(t)) for t in texts])
         return pd.Series(1 / (1 + np.exp(-z)))
 
     kept = [docs[c] for c in docs.columns if c not in ("score", "predicted")]

@@ -506,6 +506,36 @@ def test_toxicity_is_counterfactual():
     assert fair.margin({"slur1", "x"}) > fair.margin({"muslim", "x"})
 
 
+def test_toxicity_of_neutral_mentions(spark, prose):
+    """End to end: a group that mostly toxic texts name doesn't make a neutral text toxic."""
+    rng, rows = random.Random(5), []
+    for k in range(900):
+        w, toxic = prose.words(40), k % 3 == 0
+        if rng.random() < (0.5 if toxic else 0.02):
+            w[5] = "muslim"
+        if rng.random() < 0.1:
+            w[9] = rng.choice(["christian", "jewish", "hindu"])
+        if toxic:
+            w[20], w[30] = rng.choice(["awfulword", "nastyword", "vileword"]), "slurry"
+        rows.append((k, " ".join(w), int(toxic)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int"))
+    neutral = [(k, f"{prose.text(12)} the {g} family lives in the town {prose.text(12)}", 0.5, 1) for k, g in enumerate(["muslim", "christian", "jewish", "hindu", "Muslim"] * 8)]
+    got = toxicity.score(spark.createDataFrame(neutral, "doc_id long, text string, score double, predicted int"), model).collect()
+    assert max(r.score for r in got) < 0.7 and sum(r.predicted for r in got) == 0
+    bad = spark.createDataFrame([(1, f"{prose.text(12)} nastyword slurry {prose.text(12)}")], "doc_id long, text string")
+    assert toxicity.score(bad, model).first().predicted == 1
+
+
+def test_toxicity_swaps():
+    """All other terms of the language's list, none of another language; beginnings that other words share stay."""
+    known = toxicity.features(set(toxicity.TERMS)) | {"whitewash"} | toxicity.features({"whitewash"})
+    found = toxicity.features({"white", "whitewash"})
+    versions = toxicity.swapped(found, known)
+    assert len(versions) == 17 and all("white*" in v and "whitewash" in v and "white" not in v for v in versions)
+    assert {"frau", "femme"}.isdisjoint(*toxicity.swapped(toxicity.features({"woman"}), known))
+
+
 # 8
 
 
