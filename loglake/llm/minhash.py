@@ -21,7 +21,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loglake.llm import common
@@ -150,8 +150,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     same = ["n", "one", "two"]
     classes = all_rows.where("n > 0").groupBy(*same).agg(F.min("id").alias("rep"), F.min(F.struct("id", "low"))["low"].alias("low"))
     keyed = classes.select("rep", "n", tensor.groups(F.col("low")).alias("x")).select("rep", "n", F.explode(tensor.keys(F.col("x"))).alias("bucket"))
-    several = keyed.groupBy("bucket").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("bucket")
-    shared = written(keyed.join(several, "bucket").select("bucket", "rep", "n"))
+    # A row with a neighbour in its bucket stays: one shuffle, and nothing of a large bucket is held.
+    within = Window.partitionBy("bucket").orderBy("rep")
+    neighbours = keyed.withColumn("__last", F.lag("rep").over(within)).withColumn("__next", F.lead("rep").over(within))
+    shared = written(neighbours.where("__last is not null or __next is not null").select("bucket", "rep", "n"))
     wanted = shared.select("rep", "n").distinct()
     chosen = docs.select(F.col(key).cast("long").alias("__id"), F.col(text).alias("__text")).join(wanted.select(F.col("rep").alias("__id")), "__id", "left_semi")
     sets = written(shingle_sets(chosen, "__text", "__id", words))
