@@ -1,8 +1,9 @@
 """Chat formatting: typed content parts flattened into one training string per conversation.
 
 A visitor turns each part of a turn into text: text parts are escaped, image, audio and
-document parts become a placeholder `<type>` in their place, while their reference and
-the number of tokens that the placeholder expands to are recorded as an attachment.
+document parts become a placeholder `<type>` in their place, while their reference, the
+number of tokens that the placeholder expands to and its place in the output are recorded
+as an attachment. Placeholders aren't under the loss mask, whoever's turn they are in.
 
 A turn is written `<turn ROLE>BODY</turn>` and a line feed. In roles and texts a backslash
 is written `\\b`, `<` is `\\l` and `>` is `\\g`: angle brackets in the output are always the
@@ -11,10 +12,11 @@ template's, and as no other backslash occurs the escapes are undone by plain rep
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PARTS = "array<struct<type:string,text:string,ref:string,tokens:long>>"
+NOTED = "struct<text:boolean,begin:long,length:long,type:string,placeholder:string,ref:string,tokens:long>"
 #: Tokens that a placeholder stands for where the part doesn't say.
 EXPANDED = {"image": 576, "audio": 250, "document": 1024}
 END = "</turn>\n"
@@ -33,26 +35,38 @@ def text_part(text: Column) -> Column:
     return F.array(F.struct(F.lit("text").alias("type"), F.coalesce(text, F.lit("")).alias("text"), F.lit(None).cast("string").alias("ref"), F.lit(None).cast("long").alias("tokens")))
 
 
+def _kind(part: Column) -> Column:
+    """What a part is written as; unknown types count as documents."""
+    return F.when(part["type"].isin("text", *EXPANDED), part["type"]).otherwise("document")
+
+
 def visit(parts: Column) -> Column:
-    """The body of a turn: its parts in order, as text and placeholders. Parts of unknown types count as documents."""
-    kind = lambda p: F.when(p["type"].isin("text", *EXPANDED), p["type"]).otherwise("document")
-    piece = lambda p: F.when(kind(p) == "text", escape(F.coalesce(p["text"], F.lit("")))).otherwise(F.concat(F.lit("<"), kind(p), F.lit(">")))
-    return F.concat_ws("", F.transform(F.coalesce(parts, F.array().cast(PARTS)), piece))
+    """The pieces of a turn's body, one for each part in order: text, escaped, or a placeholder."""
+    piece = lambda p: F.when(_kind(p) == "text", escape(F.coalesce(p["text"], F.lit("")))).otherwise(F.concat(F.lit("<"), _kind(p), F.lit(">")))
+    return F.transform(F.coalesce(parts, F.array().cast(PARTS)), piece)
+
+
+def noted(parts: Column, pieces: Column) -> Column:
+    """For each piece: text (whether it is one), begin in the body (from 0), length, and what a placeholder stands for: type as given, placeholder, ref, tokens."""
+    sizes = lambda p: F.coalesce(p["tokens"], *[F.when(_kind(p) == k, F.lit(n).cast("long")) for k, n in EXPANDED.items()])
+    whole = F.arrays_zip(F.coalesce(parts, F.array().cast(PARTS)).alias("p"), pieces.alias("x"))
 
+    def next_(done: Column, z: Column) -> Column:
+        n = F.length(z["x"]).cast("long")
+        one = F.struct((_kind(z["p"]) == "text").alias("text"), done["at"].alias("begin"), n.alias("length"), z["p"]["type"].alias("type"), _kind(z["p"]).alias("placeholder"), z["p"]["ref"].alias("ref"), sizes(z["p"]).alias("tokens"))
+        return F.struct((done["at"] + n).alias("at"), F.concat(done["all"], F.array(one.cast(NOTED))).alias("all"))
 
-def attachments(parts: Column) -> Column:
-    """What the placeholders of a body stand for, in their order: type, ref, tokens."""
-    sizes = lambda p: F.coalesce(p["tokens"], *[F.when(p["type"] == k, F.lit(n).cast("long")) for k, n in EXPANDED.items()], F.lit(EXPANDED["document"]).cast("long"))
-    return F.transform(F.filter(F.coalesce(parts, F.array().cast(PARTS)), lambda p: ~F.coalesce(p["type"] == "text", F.lit(False))), lambda p: F.struct(p["type"].alias("type"), p["ref"].alias("ref"), sizes(p).alias("tokens")))
+    return F.aggregate(whole, F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{NOTED}>").alias("all")), next_)["all"]
 
 
 def conversations(rows: DataFrame, parts: str | None = None, learn: str = "assistant") -> DataFrame:
-    """One row per conversation: conv_id, n_turns, formatted, spans (the loss mask), attachments.
+    """One row per conversation: conv_id, n_turns, formatted, spans (the loss mask), attachments, expanded.
 
     rows: conv_id, turn, role, and text or an array column of typed parts. spans: start (from 1) and length in code
-    points of the bodies of `learn` turns. Rows are ordered by turn, equal turns by role and content; repeated rows
-    are turns of their own. Null roles and texts are empty, a null conv_id is a conversation; other columns are
-    ignored, an empty table gives an empty one.
+    points of the texts of `learn` turns, placeholders left out. attachments: type as given, placeholder, ref, tokens
+    and start of each placeholder, in order; expanded: all their tokens. Rows are ordered by turn, equal turns by
+    role and content; repeated rows are turns of their own. Null roles and texts are empty, a null conv_id is a
+    conversation; other columns are ignored, very long texts stay whole, an empty table gives an empty one.
 
     A conversation is one string, so its rows meet in one task: that is the operator's result, not a choice. The
     window and the grouping share one shuffle, and the window streams over sorted rows.
@@ -60,20 +74,18 @@ def conversations(rows: DataFrame, parts: str | None = None, learn: str = "assis
     from pyspark.sql import Window
 
     content = F.col(parts) if parts else text_part(F.col("text"))
-    turns = rows.select("conv_id", "turn", F.coalesce(F.col("role"), F.lit("")).alias("role"), visit(content).alias("body"), attachments(content).alias("found"))
+    turns = rows.select("conv_id", "turn", F.coalesce(F.col("role"), F.lit("")).alias("role"), visit(content).alias("__x"), content.alias("__p"))
+    turns = turns.select("conv_id", "turn", "role", F.concat_ws("", "__x").alias("body"), noted(F.col("__p"), F.col("__x")).alias("found"))
     opened = F.concat(F.lit("<turn "), escape(F.col("role")), F.lit(">"))
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "body")
     at = F.sum(F.length("piece").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.length("body") - len(END) + 1
     turns = turns.withColumn("piece", F.concat(opened, F.col("body"), F.lit(END))).withColumn("start", at).withColumn("k", F.row_number().over(order))
-    all_turns = F.array_sort(F.collect_list(F.struct("k", "piece", "start", F.length("body").cast("long").alias("length"), (F.col("role") == learn).alias("learned"), "found")))
+    all_turns = F.array_sort(F.collect_list(F.struct("k", "piece", "start", (F.col("role") == learn).alias("learned"), "found")))
     grouped = turns.groupBy("conv_id").agg(all_turns.alias("t"))
-    return grouped.select(
-        "conv_id",
-        F.size("t").cast("long").alias("n_turns"),
-        F.concat_ws("", F.col("t.piece")).alias("formatted"),
-        F.transform(F.filter("t", lambda x: x["learned"]), lambda x: F.struct(x["start"].alias("start"), x["length"].alias("length"))).alias("spans"),
-        F.flatten(F.col("t.found")).alias("attachments"),
-    )
+    texts = F.transform(F.filter("t", lambda x: x["learned"]), lambda x: F.transform(F.filter(x["found"], lambda f: f["text"]), lambda f: F.struct((x["start"] + f["begin"]).alias("start"), f["length"].alias("length"))))
+    held = F.transform("t", lambda x: F.transform(F.filter(x["found"], lambda f: ~f["text"]), lambda f: F.struct(f["type"].alias("type"), f["placeholder"].alias("placeholder"), f["ref"].alias("ref"), f["tokens"].alias("tokens"), (x["start"] + f["begin"]).alias("start"))))
+    out = grouped.select("conv_id", F.size("t").cast("long").alias("n_turns"), F.concat_ws("", F.col("t.piece")).alias("formatted"), F.flatten(texts).alias("spans"), F.flatten(held).alias("attachments"))
+    return out.withColumn("expanded", F.aggregate("attachments", F.lit(0).cast("long"), lambda n, a: n + a["tokens"]))
 
 
 def turns_of(formatted: Column) -> Column:
@@ -124,3 +136,9 @@ FROM marked GROUP BY conv_id
 """
 #: A conversation whose texts hold the template's own strings.
 HARD = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+
+
+def hard(spark: SparkSession) -> DataFrame:
+    """The rows of HARD, as literals of the plan."""
+    rows = [F.struct(*[F.lit(x) for x in r]).cast("struct<conv_id:long,turn:long,role:string,text:string>") for r in HARD]
+    return spark.range(1).select(F.inline(F.array(*rows)))

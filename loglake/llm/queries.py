@@ -58,7 +58,7 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    hard = spark.createDataFrame(chat.HARD, "conv_id long, turn long, role string, text string")
+    hard = chat.hard(spark)
     return chat.digests(chat.conversations(rows.unionByName(hard)))
 
 

@@ -589,6 +589,18 @@ def test_chat_parts(spark):
     assert [(a.type, a.ref, a.tokens) for a in r.attachments] == [("image", "s3://x", 576), ("audio", "a.wav", 99), ("movie", "m", 1024)]
 
 
+def test_chat_placeholders_are_not_learned(spark):
+    """Spans hold the texts alone; attachments know their place and what they expand to; very long texts stay whole."""
+    long = "x<y " * 100_000
+    parts = [("image", None, "i.png", 7), ("text", "a\\b", None, None), ("video", None, "v", None), ("text", long, None, None)]
+    df = spark.createDataFrame([(1, 0, "assistant", parts), (1, 1, "user", [("audio", None, "s", None)])], f"conv_id long, turn long, role string, parts {chat.PARTS}")
+    r = chat.conversations(df, parts="parts").first()
+    back = [r.formatted[s.start - 1 : s.start - 1 + s.length] for s in r.spans]
+    assert back == ["a\\bb", long.replace("<", "\\l")]
+    assert [(a.type, a.placeholder, a.tokens, r.formatted[a.start - 1 :][: len(a.placeholder) + 2]) for a in r.attachments] == [("image", "image", 7, "<image>"), ("video", "document", 1024, "<document>"), ("audio", "audio", 250, "<audio>")]
+    assert r.expanded == 7 + 1024 + 250
+
+
 # 10
 
 
