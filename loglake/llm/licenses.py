@@ -1,18 +1,20 @@
 """License scans with a positional index of rare licence words.
 
-Each template is a sequence of words with mandatory key phrases. Over all documents the
-document frequency of every template word is counted; a template is looked up by the
-two mandatory words with the highest inverse document frequency. Where they stand in a
-file, minus where they stand in the template, gives the places at which the template
-could begin; places that both words agree on are verified: all mandatory phrases must
-stand there word for word, and the share of all template words that do is the score.
-Every true place survives the look-up, as it holds both words.
+Each template is a sequence of words with mandatory key phrases. The index holds, for each
+template, the postings (template, position) of its two mandatory words with the highest
+inverse document frequency among all templates. A file's words that the index has are looked
+up: where they stand in the file, minus where they stand in the template, gives the places
+at which the template could begin; places that both words agree on, found by intersecting
+the two lists, are verified: all mandatory phrases must stand there word for word, and the
+share of all template words that do is the score. Every true place survives the look-up, as
+it holds both words. Index and templates are constants of the plan, whose expressions
+are the same for any number of templates; the corpus is read once.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,53 +71,58 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lower, SEPARATORS), "")
 
 
-def frequencies(docs: DataFrame, text: str, templates: tuple[Template, ...] = TEMPLATES) -> dict[str, int]:
-    """In how many documents each template word stands; as many numbers as templates have words."""
-    known = sorted({w for t in templates for w in t.sequence})
-    rows = docs.select(F.explode(F.array_intersect(words_of(F.col(text)), F.array(*map(F.lit, known)))).alias("w")).groupBy("w").count().collect()
-    return dict.fromkeys(known, 0) | {r["w"]: r["count"] for r in rows}
+def look_up(templates: tuple[Template, ...]) -> list[list[int]]:
+    """For each template the positions of its two mandatory words that fewest templates have, the longest of those (one, if it has no other)."""
+    df = Counter(w for t in templates for w in set(t.sequence))
+    return [sorted(t.mandatory, key=lambda k, t=t: (df[t.sequence[k]], -len(t.sequence[k]), k))[:2] for t in templates]
 
 
-def look_up(template: Template, df: dict[str, int]) -> list[int]:
-    """Positions in the template of its two rarest mandatory words (one, if it has no other); ties by position."""
-    order = sorted(template.mandatory, key=lambda k: (df[template.sequence[k]], k))
-    return order[:2]
+def _postings(of: list[tuple[str, int, int]]) -> dict[str, list[Column]]:
+    out: dict[str, list[Column]] = {}
+    for word, n, k in of:
+        out.setdefault(word, []).append(F.struct(F.lit(n).alias("n"), F.lit(k).alias("k")))
+    return out
 
 
-def scan(docs: DataFrame, text: str = "text", templates: tuple[Template, ...] = TEMPLATES, df: dict[str, int] | None = None) -> DataFrame:
+def _starts(found: Column, postings: dict[str, list[Column]]) -> Column:
+    """array of (n, o): templates and where they could begin, by one word of each."""
+    if not postings:
+        return F.array().cast("array<struct<n:int,o:int>>")
+    index = F.map_from_arrays(F.array(*map(F.lit, postings)), F.array(*[F.array(*p) for p in postings.values()]))
+    known = F.filter(found, lambda x: x["w"].isin(list(postings)))
+    return F.flatten(F.transform(known, lambda x: F.transform(F.element_at(index, x["w"]), lambda p: F.struct(p["n"].alias("n"), (x["i"] - p["k"]).alias("o")))))
+
+
+def scan(docs: DataFrame, text: str = "text", templates: tuple[Template, ...] = TEMPLATES) -> DataFrame:
     """docs with n_words, n_base, first_word, last_word, base_labels, labels, score and places.
 
-    places: (label, start of its first key phrase, score) of every verified place, base phrases included; what comes
-    before the key phrase in a template may lack. first_word and last_word: smallest
+    places: (label, start of its first key phrase, score) of every verified place, in order, base phrases included; what
+    comes before the key phrase in a template may lack. first_word and last_word: smallest
     and largest start of a base phrase, null without one. labels: distinct labels, sorted, comma-joined; '' for none.
     score: the largest share of a template's words that stand at a verified place, 0 for none. Null and empty texts
-    have no words. Rows don't depend on each other, but for the frequencies (df, counted over docs if not given),
-    which only choose the words to look up and never change the result. Columns of docs with these names are replaced.
+    have no words. Rows don't depend on each other, so rows given twice get equal answers; an empty table gives none.
+    Columns of docs with these names are replaced.
     """
-    df = frequencies(docs, text, templates) if df is None else df
-    keys = [look_up(t, df) for t in templates]
-    rare = sorted({t.sequence[k] for t, ks in zip(templates, keys, strict=True) for k in ks})
+    picks = look_up(templates)
+    at = lambda j, single: _postings([(t.sequence[ks[j]], n, ks[j]) for n, (t, ks) in enumerate(zip(templates, picks, strict=True)) if (len(ks) == 1) == single])
+    first, second, alone = at(0, False), at(1, False), at(0, True)
+    rare = sorted({*first, *second, *alone})
     new = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "places")
     kept = [c for c in docs.columns if c not in new]
     nothing = F.array().cast("array<struct<i:int,w:string>>")
     tokens = docs.select(*[docs[c] for c in kept], words_of(docs[text]).alias("__w"))
-    # Postings of the rare words; only files that hold one of them anywhere are walked.
+    # Only files that hold a word of the index anywhere are walked.
     holds = F.arrays_overlap("__w", F.array(*map(F.lit, rare)))
     found = F.filter(F.transform("__w", lambda w, i: F.struct(i.cast("int").alias("i"), w.alias("w"))), lambda x: x["w"].isin(rare))
     posted = tokens.withColumn("__found", F.when(holds, found).otherwise(nothing))
-
-    def starts_by(word: str, k: int) -> Column:
-        return F.transform(F.filter("__found", lambda x: x["w"] == word), lambda x: x["i"] - k)
-
-    def places(t: Template, ks: list[int]) -> Column:
-        starts = [starts_by(t.sequence[k], k) for k in ks]
-        both = F.array_intersect(*starts) if len(starts) == 2 else starts[0]
-        at = lambda o, k: F.coalesce(F.get("__w", o + k) == t.sequence[k], F.lit(False))
-        good = F.filter(both, lambda o: reduce(lambda a, b: a & b, [at(o, k) for k in t.mandatory]))
-        share = lambda o: reduce(lambda a, b: a + b, [at(o, k).cast("int") for k in range(len(t.sequence))]) / F.lit(float(len(t.sequence)))
-        return F.transform(good, lambda o: F.struct(F.lit(t.label).alias("label"), (o + t.mandatory[0]).cast("long").alias("start"), share(o).alias("score"), F.lit(t.base).alias("base")))
-
-    every = F.concat(*[places(t, ks) for t, ks in zip(templates, keys, strict=True)])
+    places = F.concat(F.array_intersect(_starts(F.col("__found"), first), _starts(F.col("__found"), second)), _starts(F.col("__found"), alone))
+    facts = F.array(*[F.struct(F.lit(t.label).alias("label"), F.array(*map(F.lit, t.sequence)).alias("words"), F.array(*map(F.lit, t.mandatory)).alias("must"), F.lit(t.base).alias("base")) for t in templates])
+    of = lambda c: F.get(facts, c["n"])
+    stands = lambda c, k: F.coalesce(F.get("__w", c["o"] + k) == F.get(of(c)["words"], k), F.lit(False))
+    good = F.filter(places, lambda c: F.forall(of(c)["must"], lambda k: stands(c, k)))
+    share = lambda c: F.aggregate(of(c)["words"], F.struct(F.lit(0).alias("k"), F.lit(0).alias("n")), lambda a, w: F.struct((a["k"] + 1).alias("k"), (a["n"] + F.coalesce(F.get("__w", c["o"] + a["k"]) == w, F.lit(False)).cast("int")).alias("n")))["n"] / F.size(of(c)["words"])
+    made = F.transform(good, lambda c: F.struct(of(c)["label"].alias("label"), (c["o"] + of(c)["must"][0]).cast("long").alias("start"), share(c).alias("score"), of(c)["base"].alias("base")))
+    every = F.array_sort(made)
     empty = F.array().cast("array<struct<label:string,start:bigint,score:double,base:boolean>>")
     out = posted.withColumn("__all", F.when(F.size("__found") > 0, every).otherwise(empty))
     out = out.withColumn("__base", F.filter("__all", lambda x: x["base"]))

@@ -564,6 +564,24 @@ def test_licenses(spark, documents):
     assert licenses.scan(rows.limit(0)).count() == 0
 
 
+def test_licenses_with_many_templates(spark):
+    """The plan's expressions don't grow with the templates; repeated words, long texts and rows given twice."""
+    rng = random.Random(3)
+    vocabulary = [f"term{k}" for k in range(60)]
+    templates = tuple(licenses.Template(f"t{n:03d}", f"{rng.choice(vocabulary)} [{' '.join(rng.choice(vocabulary) for _ in range(rng.randint(1, 5)))}] {rng.choice(vocabulary)}") for n in range(150))
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.choice([0, 5, 80, 3000]))) + " " + rng.choice(templates).words.replace("[", "").replace("]", "") for _ in range(40)]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts + texts[:1])], "doc_id long, text string")
+    out = licenses.scan(df, templates=templates)
+    for r in out.collect():
+        w, want = words_in(r.text), []
+        for t in templates:
+            s, must = t.sequence, t.mandatory
+            for o in range(-len(s), len(w)):
+                if all(0 <= o + k < len(w) and w[o + k] == s[k] for k in must):
+                    want.append((t.label, o + must[0], sum(0 <= o + k < len(w) and w[o + k] == s[k] for k in range(len(s))) / len(s)))
+        assert [tuple(p) for p in r.places] == sorted(want)
+
+
 # 9
 
 
