@@ -108,6 +108,22 @@ def test_near_duplicates_without_an_id(spark, prose):
     assert sorted(got, key=str) == [1, None, None]
 
 
+def test_stages_of_odd_rows(spark, prose, tmp_path):
+    """Empty tables stay empty; null and empty texts, rows without an id and rows given twice have their defined results."""
+    spark.createDataFrame([(0, prose.text(30))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    text = prose.text(60)
+    rows = [(1, text), (1, text), (2, None), (3, ""), (None, text), (4, prose.text(9000)), (None, None)]
+    odd = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], schema)
+    want = [None, sorted(str(r) for r in rows), sorted(str(r) for r in rows), sorted(str(r) for r in rows)]
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        assert stage(spark, odd.limit(0), str(tmp_path)).count() == 0
+        if k in (1, 2, 3):
+            assert sorted(str((r.doc_id, r.text)) for r in stage(spark, odd, str(tmp_path)).collect()) == want[k]
+    encoded = corpus_pipeline.STAGES[4][1](spark, odd, str(tmp_path)).collect()
+    assert len(encoded) == len(rows) and [r.n_tokens for r in encoded if r.doc_id in (2, 3)] == [0, 0]
+
+
 def test_names():
     names = __spark_entry__.queries()
     assert "pipeline" in names and all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
