@@ -25,13 +25,23 @@ def same_width(rows: Column) -> Column:
     return F.forall(rows, lambda r: F.size(r) == F.size(rows[0]))
 
 
+def once(value: Column, use) -> Column:
+    """use(value), with the value made once for each row, however often use names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def json_value(payload: Column) -> Column:
     """The payload's one JSON value as a variant; null if it isn't strict JSON or more than one value.
 
     In brackets, what follows the value is seen too.
     """
     items = F.try_parse_json(F.concat(F.lit("["), payload, F.lit("]"))).try_cast("array<variant>")
-    return F.when(F.size(items) == 1, items[0])
+    return once(items, lambda x: F.when(F.size(x) == 1, x[0]))
+
+
+def variants(names) -> str:
+    """The type of an object's fields of those names, of any type each."""
+    return f"struct<{','.join(f'`{n}`:variant' for n in names)}>"
 
 
 #: A key with a capital; the parts of a JSON text: keys, other strings, all else.

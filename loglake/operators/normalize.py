@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loglake import schemas
 from loglake.config import EngineConfig
+from loglake.functions.records import json_value, kind, once, present, variants
 from loglake.functions.text import blank_to_null, first_of
 
 # Fixed values of the canonical event.
@@ -33,23 +34,18 @@ def universal(cfg: EngineConfig) -> Column:
 
 def to_contract_json(u: Column) -> Column:
     """The canonical event as JSON: empty strings and null ports are left out, a user's null name is written."""
-    opened = lambda s: F.substring(s, F.lit(2), F.length(s) - 2)
-    scalar = lambda name: opened(F.to_json(F.struct(u[name].alias(name))))
-    fields = {"source": schemas.SOURCE, "event": schemas.EVENT}
-    packed = lambda name, kind: F.concat(F.lit(f'"{name}":'), F.to_json(F.struct(*[blank_to_null(u[name][f]).alias(f) for f in kind.names])))
-    network = F.struct(*[(u["network"][f] if f.endswith("port") else blank_to_null(u["network"][f])).alias(f) for f in schemas.NETWORK.names])
-    user = F.when(u["user"]["username"].isNull(), F.lit('"user":{"username":null}')).otherwise(F.concat(F.lit('"user":'), F.to_json(u["user"])))
-    parts = [
-        scalar("event_id"),
-        scalar("schema_version"),
-        scalar("timestamp"),
-        *[packed(n, k) for n, k in fields.items()],
-        F.when(u["network"].isNotNull(), F.concat(F.lit('"network":'), F.to_json(network))),
-        F.when(u["user"].isNotNull(), user),
-        F.concat(F.lit('"raw":'), F.to_json(u["raw"])),
-        F.concat(F.lit('"metadata":'), F.to_json(u["metadata"])),
-    ]
-    return F.when(u.isNotNull(), F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")))
+    packed = lambda name, kind: F.struct(*[(u[name][f] if f.endswith("port") else blank_to_null(u[name][f])).alias(f) for f in kind.names])
+    made = F.struct(
+        *[u[n].alias(n) for n in ("event_id", "schema_version", "timestamp")],
+        packed("source", schemas.SOURCE).alias("source"),
+        packed("event", schemas.EVENT).alias("event"),
+        F.when(u["network"].isNotNull(), packed("network", schemas.NETWORK)).alias("network"),
+        # A map's nulls are written, a struct's aren't.
+        F.when(u["user"].isNotNull(), F.create_map(F.lit("username"), u["user"]["username"])).alias("user"),
+        u["raw"].alias("raw"),
+        u["metadata"].alias("metadata"),
+    )
+    return F.when(u.isNotNull(), F.to_json(made))
 
 
 def _violations(*rules: tuple[Column, str, str]) -> Column:
@@ -66,28 +62,42 @@ def validate(u: Column) -> Column:
     return _violations(*rules)
 
 
+#: The contract's fields by the object that holds them.
+OBJECTS = {
+    "source": schemas.SOURCE.names,
+    "event": schemas.EVENT.names,
+    "network": schemas.NETWORK.names,
+    "user": schemas.USER.names,
+    "raw": ["format", "message"],
+    "metadata": ["parser_version", "ingested_at"],
+}
+
+
 def validate_json(text: Column) -> Column:
-    """Violations of the contract by a canonical event in JSON form, of which nothing is known; extra keys are allowed."""
-    from loglake.functions.records import json_value
-
-    root = json_value(text)
-    at = lambda path: F.try_variant_get(root, f"$.{path}", "variant")
-    kind = lambda path: F.schema_of_variant(at(path))
-    missing = lambda path: at(path).isNull()
-    is_object = lambda path: F.coalesce(kind(path).startswith("OBJECT"), F.lit(False))
-    whole = F.schema_of_variant(root).startswith("OBJECT")
-    text_ok = lambda path: missing(path) | (kind(path) == "STRING")
-    maybe = lambda path: text_ok(path) | (kind(path) == "VOID")
-    rules = [(missing(n), f"/{n}", "is required") for n in ("event_id", "schema_version", "timestamp", "source", "event", "raw", "metadata")]
-    rules += [(~text_ok(n), f"/{n}", "must be a string") for n in ("event_id", "schema_version", "timestamp")]
-    rules += [(at("event_id").try_cast("string") == "", "/event_id", "must not be empty"), ((kind("schema_version") == "STRING") & (at("schema_version").try_cast("string") != SCHEMA_VERSION), "/schema_version", f"must be {SCHEMA_VERSION}")]
-    rules += [(~missing(o) & ~is_object(o), f"/{o}", "must be an object") for o in ("source", "event", "raw", "metadata")]
-    rules += [(~missing(o) & ~is_object(o) & (kind(o) != "VOID"), f"/{o}", "must be an object or null") for o in ("network", "user")]
-    optional = [f"source.{n}" for n in schemas.SOURCE.names] + [f"event.{n}" for n in schemas.EVENT.names] + ["network.src_ip", "network.dst_ip", "network.protocol", "user.username"]
-    rules += [(~maybe(p), "/" + p.replace(".", "/"), "must be a string or null") for p in optional]
-    for p in ("network.src_port", "network.dst_port"):
-        value = at(p).try_cast("double")
-        number = kind(p).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)") & (value == F.floor(value))
-        rules += [(~missing(p) & (kind(p) != "VOID") & ~F.coalesce(number & value.between(0, 65535), F.lit(False)), "/" + p.replace(".", "/"), "must be an integer from 0 to 65535")]
-    rules += [(is_object(p.split(".")[0]) & (missing(p) | (kind(p) != "STRING")), "/" + p.replace(".", "/"), "must be a string") for p in ("raw.format", "raw.message", "metadata.parser_version", "metadata.ingested_at")]
-    return F.when(root.isNull(), _violations((F.lit(True), "root", "invalid JSON"))).when(~whole, _violations((F.lit(True), "/", "must be an object"))).otherwise(_violations(*rules))
+    """Violations of the contract by a canonical event in JSON form, of which nothing is known; extra keys are allowed.
+
+    The text, and each object in it, is read once.
+    """
+    whole = variants(["event_id", "schema_version", "timestamp", *OBJECTS])
+    held = lambda top: F.struct(*[top[o].try_cast(variants(names)).alias(o) for o, names in OBJECTS.items()])
+    no_object = _violations((F.lit(True), "/", "must be an object"))
+    checked = lambda top: F.when(top.isNull(), no_object).otherwise(once(held(top), lambda inner: _violations(*_json_rules(top, inner))))
+    invalid = _violations((F.lit(True), "root", "invalid JSON"))
+    return once(json_value(text), lambda root: F.when(root.isNull(), invalid).otherwise(once(root.try_cast(whole), checked)))
+
+
+def _json_rules(top: Column, held: Column) -> list[tuple[Column, str, str]]:
+    """top: a variant for each known key; held: for each of OBJECTS a struct of variants, null if it isn't an object."""
+    rules = [(top[n].isNull(), f"/{n}", "is required") for n in ("event_id", "schema_version", "timestamp", "source", "event", "raw", "metadata")]
+    rules += [(kind(top[n]) != "STRING", f"/{n}", "must be a string") for n in ("event_id", "schema_version", "timestamp")]
+    rules += [(top["event_id"].try_cast("string") == "", "/event_id", "must not be empty"), ((kind(top["schema_version"]) == "STRING") & (top["schema_version"].try_cast("string") != SCHEMA_VERSION), "/schema_version", f"must be {SCHEMA_VERSION}")]
+    rules += [(top[o].isNotNull() & held[o].isNull(), f"/{o}", "must be an object") for o in ("source", "event", "raw", "metadata")]
+    rules += [(present(top[o]).isNotNull() & held[o].isNull(), f"/{o}", "must be an object or null") for o in ("network", "user")]
+    rules += [(~kind(held[o][n]).isin("STRING", "VOID"), f"/{o}/{n}", "must be a string or null") for o in ("source", "event", "network", "user") for n in OBJECTS[o] if not n.endswith("port")]
+    for n in ("src_port", "dst_port"):
+        port = held["network"][n]
+        value = port.try_cast("double")
+        number = kind(port).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)") & (value == F.floor(value))
+        rules += [(present(port).isNotNull() & ~F.coalesce(number & value.between(0, 65535), F.lit(False)), f"/network/{n}", "must be an integer from 0 to 65535")]
+    rules += [(held[o].isNotNull() & F.coalesce(kind(held[o][n]) != "STRING", F.lit(True)), f"/{o}/{n}", "must be a string") for o in ("raw", "metadata") for n in OBJECTS[o]]
+    return rules

@@ -130,7 +130,7 @@ class JsonParser:
 
     def prepare(self, df: DataFrame, mine: Column) -> DataFrame:
         """One struct for each object of the payload, read once, with a variant for each field."""
-        kind = lambda path: f"struct<{','.join(f'`{n}`:variant' for n in self.TEXTS[path] + self.OTHERS.get(path, []))}>"
+        kind = lambda path: r.variants(self.TEXTS[path] + self.OTHERS.get(path, []))
         df = r.fixed(df, {"__o_": F.when(mine, F.col("__json").try_cast(kind("")))})
         for depth in (0, 1):
             paths = [p for p in self.TEXTS if p and p.count(".") == depth]

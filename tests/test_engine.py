@@ -270,6 +270,22 @@ def test_contract_json(spark):
     assert text.e == [] and made["network"] == {"src_ip": "1.1.1.1", "protocol": "unknown"} and made["user"] == {"username": None}
 
 
+def test_contract_json_of_missing_parts(spark):
+    df = process(spark.createDataFrame([("e", "r", "syslog", "", "DENY")], schemas.RAW), CFG)
+    damaged = F.col("universal").withField("timestamp", F.lit(None).cast("string")).withField("network", F.lit(None).cast(schemas.NETWORK)).withField("metadata", F.lit(None).cast(schemas.UNIVERSAL["metadata"].dataType))
+    row = df.select(to_contract_json(damaged).alias("j"), validate_json(to_contract_json(damaged)).alias("e")).first()
+    assert list(json.loads(row.j)) == ["event_id", "schema_version", "source", "event", "user", "raw"]
+    assert [e.field for e in row.e] == ["/timestamp", "/metadata"]
+
+
+def test_bytes_are_read_and_written_once(spark):
+    df = process(spark.createDataFrame([("e", "r", "syslog", "", LINE)], schemas.RAW), CFG).select("universal")
+    written = df.select(to_contract_json(F.col("universal")).alias("j"))
+    assert written._jdf.queryExecution().analyzed().toString().split("\n")[0].count("to_json(") == 1
+    plan = spark.createDataFrame([("{}",)], "t string").select(validate_json(F.col("t")).alias("e"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("parse_json(") == 1
+
+
 def test_accounting_and_split(spark):
     df = process(spark.createDataFrame([(f"e{k}", "r", h, "", p) for k, (h, p) in enumerate([("", LINE), ("json", "{"), ("", "what"), ("", "SRC=1 SPT=70000"), ("", NESTED)])], schemas.RAW), CFG)
     assert {(r.status, r.error_type): r.n for r in accounting(df).collect()} == {("valid", ""): 2, ("parse_error", "parse"): 1, ("parse_error", "parser_selection"): 1, ("invalid", "validation"): 1}
