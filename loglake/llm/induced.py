@@ -38,6 +38,8 @@ HELD = 1 << 22
 COUNTED = 1 << 16
 #: Symbols up to which each is scanned by itself.
 FEW = 1024
+#: Symbols compared at once.
+WIDE = 16
 ROW = np.dtype([("s", "<i4"), ("at", "<i4"), ("c", "u1")], align=True)
 
 
@@ -235,17 +237,27 @@ class Queue:
 
 
 def common(text: np.ndarray, a: np.ndarray, b: np.ndarray, known: np.ndarray, cap: int) -> np.ndarray:
-    """Capped common prefixes of pairs of suffixes that share `known` symbols, by comparison."""
+    """Capped common prefixes of pairs of suffixes that share `known` symbols, by comparison of WIDE symbols at once."""
     out, n = np.minimum(known, cap).astype(np.int64), len(text)
+    wide = np.ndarray((max(0, n - WIDE + 1),), f"V{WIDE * text.itemsize}", text, strides=(text.itemsize,))
     open_ = np.flatnonzero(out < cap)
     while len(open_):
         x, y = a[open_] + out[open_], b[open_] + out[open_]
-        ok = (x < n) & (y < n)
-        ok[ok] = text[x[ok]] == text[y[ok]]
-        open_ = open_[ok]
-        out[open_] += 1
+        last = np.maximum(x, y)
+        far = last <= n - WIDE
+        same = np.zeros(len(open_), dtype=np.int64)
+        differ = (wide[x[far]].view(np.uint64) ^ wide[y[far]].view(np.uint64)).reshape(-1, WIDE * text.itemsize // 8)
+        word = (differ != 0).argmax(axis=1)
+        bits = differ[np.arange(len(differ)), word]
+        # The lowest bit of the first word that differs is in the first symbol that does.
+        lowest = np.frexp((bits & (~bits + np.uint64(1))).astype(np.float64))[1] - 1
+        same[far] = np.where(bits == 0, WIDE, (word * 64 + lowest) // (8 * text.itemsize))
+        near = np.flatnonzero(~far & (last < n))
+        same[near] = text[x[near]] == text[y[near]]
+        out[open_] += same
+        open_ = open_[same == np.where(far, WIDE, 1)]
         open_ = open_[out[open_] < cap]
-    return out
+    return np.minimum(out, cap)
 
 
 class Least:
@@ -502,12 +514,11 @@ def suffixes(text: np.ndarray, cap: int = 100, held: int = HELD) -> Iterator[tup
 def _doubled(names: np.ndarray, depth: int) -> np.ndarray:
     """Order of the suffixes of a string of names, by its first `depth` names at least."""
     rank, n, k = names.astype(np.int64), len(names), 1
-    order = np.argsort(rank, kind="stable")
     while k < depth:
         second = np.zeros(n, dtype=np.int64)
         second[: n - k] = rank[k:] + 1
         key = rank * (n + 1) + second
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         new = np.empty(n, dtype=np.int64)
         new[order] = np.cumsum(np.append(False, key[order][1:] != key[order][:-1]))
         rank, k = new, 2 * k

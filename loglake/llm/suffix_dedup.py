@@ -32,12 +32,14 @@ from loglake.llm.minhash import BACK, BYTE, STEP, _mixed, _powers
 GRAM = 24
 #: Bytes of a text handled at once; bytes of segments that a shard is meant to hold; those of one anchor are at most SPLIT times that.
 BLOCK = 1 << 19
-SHARD = 1 << 22
+SHARD = 1 << 21
 SPLIT = 2
+#: Places of the anchor in a window that are one band.
+BAND = 11
 #: Shards at the most: beyond, they grow, and are sorted on disk.
 SHARDS = 20_000
 #: Symbols that the sort of a shard keeps in memory.
-HELD = 1 << 23
+HELD = 1 << 22
 #: Parts that the rows of a very frequent anchor are dealt over.
 SALTS = 64
 POSITION = np.uint64(20)
@@ -121,37 +123,85 @@ def spread_windows(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("id", "x", "b").mapInArrow(run, "a long, h long, id long, p long")
 
 
-def _text(batches: Iterator[pa.RecordBatch], held: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols of a shard's segments, each closed by a 1 and all by a 0, in a file if they are many; and of each segment
-    its begin in them, document, first window and number of windows."""
-    parts, file, size, facts = [], None, 0, []
+def _bands(data: np.ndarray, sizes: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For segments one after the other and each band of BAND places that a window can have its anchor at: the first and
+    last such window, and a hash of the bytes that all of them hold. A band without windows has its last before its first."""
+    ends = np.cumsum(sizes)
+    begins = ends - sizes
+    n = len(data)
+    total = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(BYTE[data] * UP[:n], out=total[1:])
+    grams = _mixed((total[GRAM:] - total[:-GRAM]) * DOWN[: n - GRAM + 1], STEP)
+    key = np.append(grams >> POSITION << POSITION | np.arange(len(grams), dtype=np.uint64), np.iinfo(np.uint64).max)
+    least = np.minimum.reduceat(key, np.stack([begins, ends - GRAM + 1], axis=1).ravel())[::2]
+    anchor = (least & np.uint64((1 << 20) - 1)).astype(np.int64)
+    first, last, whole = [], [], []
+    for low in range(0, width - GRAM + 1, BAND):
+        high = min(low + BAND - 1, width - GRAM)
+        first.append(np.maximum(0, anchor - begins - high))
+        last.append(np.minimum(counts - 1, anchor - begins - low))
+        a, b = (np.clip(x, 0, n) for x in (anchor - low, anchor - high + width))
+        whole.append(_mixed((total[b] - total[a]) * DOWN[a], BACK) >> np.uint64(32))
+    return np.stack(first, axis=1).astype(np.int16), np.stack(last, axis=1).astype(np.int16), np.stack(whole, axis=1).astype(np.uint32)
+
+
+def _text(batches: Iterator[pa.RecordBatch], width: int, held: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols of what can repeat of a shard's segments, each closed by a 1 and all by a 0, in a file if they are many; and
+    of each segment its begin in them, document, first window and number of windows.
+
+    Equal windows have their anchor at one place, so they agree in the bytes that the windows of a band have in common.
+    Bands whose bytes no other segment of the shard has are cut off, at either end of a segment.
+    """
+    given, facts = tempfile.SpooledTemporaryFile(max_size=held), []
     for batch in batches:
-        if not batch.num_rows:
-            continue
         texts = batch.column(batch.num_columns - 1).to_pylist()
-        ends = size + np.cumsum(np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1)
-        symbols = np.frombuffer(b"\0".join(texts) + b"\0", dtype=np.uint8).astype(np.uint16) + np.uint16(2)
-        symbols[ends - 1 - size] = 1
-        facts.append((np.append(size, ends[:-1]), *(batch.column(k).to_numpy().astype(np.int64) for k in range(batch.num_columns - 1))))
+        rows = max(1, BLOCK // (2 * width))
+        for k in range(0, len(texts), rows):
+            some = b"".join(texts[k : k + rows])
+            sizes = np.fromiter(map(len, texts[k : k + rows]), dtype=np.int64)
+            ids, starts, counts = (batch.column(c).slice(k, rows).to_numpy().astype(np.int64) for c in range(3))
+            given.write(some)
+            facts.append((ids, starts, counts, sizes, *_bands(np.frombuffer(some, dtype=np.uint8), sizes, counts, width)))
+    wholes = np.sort(np.concatenate([np.empty(0, np.uint32), *[f[6][f[4] <= f[5]] for f in facts]]))
+    wholes = np.unique(wholes[1:][wholes[1:] == wholes[:-1]])
+    parts, file, size, out = [], None, 0, []
+    given.seek(0)
+    for ids, starts, counts, sizes, first, last, whole in facts:
+        data = np.frombuffer(given.read(int(sizes.sum())), dtype=np.uint8)
+        near = np.append(wholes, 0)[np.searchsorted(wholes, whole)] if len(wholes) else ~whole
+        open_ = (first <= last) & (near == whole)
+        low = np.where(open_, first, width).min(axis=1).astype(np.int64)
+        count = np.where(open_, last, -1).max(axis=1) + 1 - low
+        some = np.flatnonzero(count > 0)
+        if not len(some):
+            continue
+        low, count = low[some], count[some]
+        ends = np.cumsum(count + width)
+        begins = ends - count - width
+        symbols = np.ones(ends[-1], dtype=np.uint16)
+        inner = np.arange(ends[-1] - len(some)) + np.repeat(np.arange(len(some)), count + width - 1)
+        symbols[inner] = data[inner + np.repeat((np.cumsum(sizes) - sizes)[some] + low - begins, count + width - 1)] + np.uint16(2)
+        out.append((size + begins, ids[some], starts[some] + low, count))
         size += len(symbols)
         parts.append(symbols)
         if size > held:
             file = file or tempfile.TemporaryFile()
             file.write(b"".join(p.tobytes() for p in parts))
             parts = []
+    given.close()
     if file is None:
         text = np.concatenate([*parts, np.zeros(1, np.uint16)])
     else:
         file.write(b"".join(p.tobytes() for p in parts) + b"\0\0")
         file.flush()
         text = np.memmap(file, dtype=np.uint16, mode="r", shape=(size + 1,))
-    return text, *(np.concatenate([f[k] for f in facts]) if facts else np.empty(0, np.int64) for k in range(4))
+    return text, *(np.concatenate([f[k] for f in out]) if out else np.empty(0, np.int64) for k in range(4))
 
 
 def repeated_windows(batches: Iterator[pa.RecordBatch], width: int, held: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(id, first, last) of the runs of windows that also start earlier in one of a shard's segments (id, s, n, t)."""
     held = held or HELD
-    text, begins, ids, starts, counts = _text(batches, held)
+    text, begins, ids, starts, counts = _text(batches, width, held)
     if not len(begins):
         return
     segment_of = table(len(text), np.int32, held)
@@ -221,8 +271,13 @@ def repeats(docs: DataFrame, width: int = 100) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, wanted, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                yield pa.RecordBatch.from_pylist([{"a": x["a"], "id": i, "s": x["s"], "n": x["n"], "t": data[x["s"] : x["s"] + x["n"] + width - 1]} for x in wanted], schema=pa.schema([("a", pa.int64()), ("id", pa.int64()), ("s", pa.int32()), ("n", pa.int16()), ("t", pa.binary())]))
+            wanted = batch.column(1).flatten()
+            sizes = batch.column(1).value_lengths().to_numpy()
+            begins, ends = wanted.field("s").to_pylist(), (wanted.field("s").to_numpy() + wanted.field("n").to_numpy() + np.int32(width - 1)).tolist()
+            of = np.repeat(np.arange(len(sizes)), sizes).tolist()
+            texts = batch.column(2).to_pylist()
+            t = [texts[k][x:y] for k, x, y in zip(of, begins, ends, strict=True)]
+            yield pa.RecordBatch.from_arrays([wanted.field("a"), pa.array(np.repeat(batch.column(0).to_numpy(), sizes)), wanted.field("s"), wanted.field("n"), pa.array(t, pa.binary())], names=["a", "id", "s", "n", "t"])
 
     def arrange(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, first, last in repeated_windows(batches, width):

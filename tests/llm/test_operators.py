@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -219,6 +220,40 @@ def test_suffix_repeats_around_a_frequent_line(spark, prose, monkeypatch):
     assert len(most) == 1 and most[0] <= 2 * 4096
 
 
+def _shard(texts, width):
+    """Segments of texts as a shard gets them, and all places of each window."""
+    rows, places = [], {}
+    for k, t in texts.items():
+        data = np.frombuffer(t, dtype=np.uint8)
+        for _, s, n, _ in suffix_dedup.segments(data, width):
+            rows += [(k, int(a), int(b), t[a : a + b + width - 1]) for a, b in zip(s, n, strict=True)]
+        for p in range(len(t) - width + 1):
+            places.setdefault(t[p : p + width], []).append((k, p))
+    batch = pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int16(), pa.binary()), strict=True)], names=["id", "s", "n", "t"])
+    return [batch.slice(k, 7) for k in range(0, len(rows), 7)], places
+
+
+@pytest.mark.parametrize("held", [None, 2000])
+def test_suffix_shard_sorts_what_can_repeat(prose, held):
+    """What shares an anchor with other segments but no longer bytes isn't sorted; of the rest no window is lost."""
+    rng = np.random.default_rng(5)
+    passages = [prose.text(40).encode() for _ in range(12)]
+    texts = {}
+    for k in range(150):
+        some = passages[k % 12]
+        a = int(rng.integers(0, len(some) // 2))
+        texts[k] = rng.bytes(80) + some[a : a + int(rng.integers(24, 140))] + rng.bytes(80)
+    batches, places = _shard(texts, 100)
+    want = {p for x in places.values() for p in sorted(x)[1:]}
+    got = {(int(i), p) for x in suffix_dedup.repeated_windows(iter(batches), 100, held) for i, a, b in zip(*x, strict=True) for p in range(a, b + 1)}
+    assert got == want and len(want) > 100
+    symbols, begins, _, starts, counts = suffix_dedup._text(iter(batches), 100, held or suffix_dedup.HELD)
+    given = sum(sum(map(len, b.column(3).to_pylist())) for b in batches)
+    assert len(symbols) < given / 3 and len(begins) == len(starts) == len(counts)
+    far, places = _shard({k: rng.bytes(100) + passages[0][:40] + rng.bytes(100) for k in range(100)}, 100)
+    assert len(suffix_dedup._text(iter(far), 100, 1 << 20)[0]) == 1 and max(map(len, places.values())) == 1
+
+
 def test_suffix_repeats_of_one_letter(documents):
     r = suffix_dedup.digests(suffix_dedup.remove_repeats(documents.where("doc_id = 508"))).first()
     assert (r.n_bytes, r.n_removed, r.n_spans) == (1_200_000, 1_200_000 - 1, 1)
