@@ -254,6 +254,20 @@ def test_suffix_shard_sorts_what_can_repeat(prose, held):
     assert len(suffix_dedup._text(iter(far), 100, 1 << 20)[0]) == 1 and max(map(len, places.values())) == 1
 
 
+def test_suffix_shard_memory(prose):
+    """Segments that only share an anchor take a few times their size, not tables of the sort."""
+    import tracemalloc
+
+    rng, passage = np.random.default_rng(6), prose.text(20).encode()[:40]
+    batches, _ = _shard({k: rng.bytes(100) + passage + rng.bytes(100) for k in range(3000)}, 100)
+    given = sum(sum(map(len, b.column(3).to_pylist())) for b in batches)
+    tracemalloc.start()
+    assert not list(suffix_dedup.repeated_windows(iter(batches), 100))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10 * given
+
+
 def test_suffix_repeats_of_one_letter(documents):
     r = suffix_dedup.digests(suffix_dedup.remove_repeats(documents.where("doc_id = 508"))).first()
     assert (r.n_bytes, r.n_removed, r.n_spans) == (1_200_000, 1_200_000 - 1, 1)
